@@ -281,7 +281,7 @@ def quality_gate(
     least = int(t["min_symbols_after_filter"])
     reasons = [F.when(F.coalesce(F.col("rows"), F.lit(0.0)) == 0, F.lit("prices_empty"))]
     reasons += [
-        F.when(F.col(n) > limit, F.format_string(f"{n}=%.4f>{limit}", F.col(n))) for n, limit in limits
+        F.when(F.col(n) > limit, F.format_string(f"{n}=%.6f>{limit}", F.col(n))) for n, limit in limits
     ]
     reasons.append(
         F.when(

@@ -89,7 +89,9 @@ def average_rank(
         .select(F.when(F.col("n") > split_above, F.col("q")).otherwise(F.array().cast("array<double>")))
         .scalar()
     )
-    placed = values.withColumn("_bucket", F.size(F.filter(cuts, lambda c: c < F.col(value))))
+    placed = values.withColumn("_cuts", cuts).withColumn(
+        "_bucket", F.size(F.filter("_cuts", lambda c: c < F.col(value)))
+    )
     below = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy(group, "_bucket")

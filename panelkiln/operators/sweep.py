@@ -47,7 +47,7 @@ def run_gate(runs: DataFrame, limits: Mapping[str, float | None] = GATE_LIMITS)
             continue
         value = number(figure)
         holds = truthy(value >= limit if relation == ">=" else value <= limit)
-        shown = F.coalesce(F.format_string("%.6f", value), F.lit("none"))
+        shown = F.when(value.isNull(), "none").otherwise(F.format_string("%.9f", value))
         text = F.concat(F.lit(f"{limit_name} value="), shown, F.lit(f" required{relation}{float(limit)}"))
         found.append(F.when(~holds, text))
     if not found:

@@ -37,11 +37,11 @@ def _lines(lineitem: DataFrame) -> DataFrame:
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("u"),
         F.col("l_quantity").alias("q"),
         F.col("l_discount").alias("d"),
-        "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_returnflag",
+        "l_orderkey", "l_linenumber", "l_returnflag",
     )
 
 
-LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "u"]
+LINE_ORDER = ["l_orderkey", "l_linenumber", "u"]
 
 
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,12 +2,12 @@
 
 LINES = """li AS (
   SELECT CAST(l_suppkey AS VARCHAR) AS symbol, CAST(l_shipdate AS DATE) AS date, l_extendedprice / l_quantity AS u,
-         l_quantity AS q, l_discount AS d, l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_returnflag
+         l_quantity AS q, l_discount AS d, l_orderkey, l_linenumber, l_returnflag
   FROM lineitem)"""
 
 
 def bars_from(name: str, source: str, condition: str = "TRUE") -> str:
-    order = "ORDER BY l_orderkey, l_linenumber, l_partkey, l_extendedprice, u"
+    order = "ORDER BY l_orderkey, l_linenumber, u"
     return f"""{name} AS (
   SELECT symbol, date, first(u {order}) AS open, max(u) AS high, min(u) AS low, last(u {order}) AS close,
          last(u {order}) * (1 - avg(d)) AS adj_close, sum(q) AS volume
@@ -84,5 +84,5 @@ MEMBERS = """members AS (
 
 PREDICTIONS = f"""{BARS}, {features([5])}, {labels(1)},
 preds AS (
-  SELECT decision_date, symbol, -ret_5d AS y_pred, future_return_1d AS y_true, adv20_dollar, vol_20d
+  SELECT decision_date, symbol, -ret_5d AS y_pred, ln(1 + future_return_1d) / 10 AS y_true, adv20_dollar, vol_20d
   FROM feats JOIN labels_h USING (decision_date, symbol))"""
