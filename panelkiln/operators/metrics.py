@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelkiln.functions.frames import correlation
 from panelkiln.functions.numeric import finite, number, ratio
-from panelkiln.operators.rows import average_rank
+from panelkiln.operators.rows import spread_ranks, tied_rank
+from panelkiln.session import stored
 
 MIN_NAMES = 3
 TRADING_DAYS = 252
@@ -32,28 +33,43 @@ def daily_ic(
 
 
 def daily_rank_ic(
-    preds: DataFrame, *, keys: Sequence[str] = ("decision_date",), score: str = "y_pred", label: str = "y_true"
+    preds: DataFrame,
+    *,
+    keys: Sequence[str] = ("decision_date",),
+    score: str = "y_pred",
+    label: str = "y_true",
+    one_task_cells: int = 2_000_000,
 ) -> DataFrame:
     """Spearman correlation per day (and further keys), ties ranked by their average.
 
-    Works on distinct (score, label) cells with counts, so ties shrink before
-    the shuffle and a day with very many names is ranked by many tasks.
+    Works on distinct (score, label) cells with counts, stored once. Up to
+    ``one_task_cells`` of them a day is ranked by a plain window; beyond that no
+    day is assumed to fit one task and ranking is spread over value buckets.
     """
-    cells = (
+    cells = stored(
         _pairs(preds, keys, score, label)
         .groupBy(F.struct(*keys).alias("_day"), "_s", "_y")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.count(F.lit(1)).alias("_n")),
+        "cells",
     )
-    rank_s = average_rank(cells, "_day", "_s", "_n").withColumnRenamed("rank", "_rs")
-    rank_y = average_rank(cells, "_day", "_y", "_n").withColumnRenamed("rank", "_ry").drop("group_size")
+    if cells.count() <= one_task_cells:
+        ranked = cells.withColumns(
+            {
+                "_rs": tied_rank("_day", "_s", "_n"),
+                "_ry": tied_rank("_day", "_y", "_n"),
+                "group_size": F.sum("_n").over(Window.partitionBy("_day")),
+            }
+        )
+    else:
+        rank_s = spread_ranks(cells, "_day", "_s", "_n").withColumnRenamed("rank", "_rs")
+        rank_y = spread_ranks(cells, "_day", "_y", "_n").withColumnRenamed("rank", "_ry").drop("group_size")
+        ranked = cells.join(rank_s, ["_day", "_s"]).join(rank_y, ["_day", "_y"])
     # Ranks of N names average (N + 1) / 2, so centred sums need no second pass.
     middle = (F.col("group_size") + 1) / 2.0
     a, b, n = F.col("_rs") - middle, F.col("_ry") - middle, F.col("_n")
     spread = F.sqrt(F.sum(n * a * a)) * F.sqrt(F.sum(n * b * b))
     return (
-        cells.join(rank_s, ["_day", "_s"])
-        .join(rank_y, ["_day", "_y"])
-        .groupBy("_day")
+        ranked.groupBy("_day")
         .agg(F.sum("_n").alias("n"), ratio(F.sum(n * a * b), spread).alias("ic"))
         .filter((F.col("n") >= MIN_NAMES) & finite("ic"))
         .select("_day.*", "n", "ic")

@@ -65,32 +65,31 @@ def top_rows(
     )
 
 
-def average_rank(
-    cells: DataFrame,
-    group: str,
-    value: str,
-    weight: str,
-    *,
-    buckets: int = 64,
-    split_above: int = 2_000_000,
-) -> DataFrame:
-    """Rank of each distinct value in its group, ties averaged: (group, value, rank, group_size).
+def tied_rank(group: str, value: str, weight: str) -> Column:
+    """Rank of a cell's value in its group, ties averaged, as one window pass.
 
     ``weight`` says how many rows a cell stands for, so ties are counted, not
-    repeated. Values are cut at quantiles of their distribution over all groups:
-    no (group, bucket) can then hold more than about 1/buckets of all values,
+    repeated. A whole group is sorted by one task: see ``spread_ranks``.
+    """
+    upto = F.sum(weight).over(Window.partitionBy(group).orderBy(value))
+    ties = F.sum(weight).over(Window.partitionBy(group, value))
+    return upto - (ties - 1) / 2.0
+
+
+def spread_ranks(cells: DataFrame, group: str, value: str, weight: str, buckets: int = 64) -> DataFrame:
+    """``tied_rank`` for groups too large for one task: (group, value, rank, group_size).
+
+    Values are cut at quantiles of their distribution over all groups. A
+    (group, bucket) can then hold no more than about 1/buckets of all cells,
     however skewed the groups are. Ranks inside a bucket are offset by the sizes
-    of the buckets below it. Up to ``split_above`` values one bucket serves.
+    of the buckets below it, so where the cuts fall changes nothing but balance.
+    ``cells`` is read several times and should be a stored table.
     """
-    values = cells.groupBy(group, value).agg(F.sum(weight).alias("_ties"))
-    fractions = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    cuts = (
-        values.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(value, fractions, F.lit(1000)).alias("q"))
-        .select(F.when(F.col("n") > split_above, F.col("q")).otherwise(F.array().cast("array<double>")))
-        .scalar()
-    )
-    placed = values.withColumn("_cuts", cuts).withColumn(
-        "_bucket", F.size(F.filter("_cuts", lambda c: c < F.col(value)))
+    cuts = cells.approxQuantile(value, [i / buckets for i in range(1, buckets)], 0.002)
+    placed = (
+        cells.groupBy(group, value)
+        .agg(F.sum(weight).alias("_ties"))
+        .withColumn("_bucket", F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col(value))))
     )
     below = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

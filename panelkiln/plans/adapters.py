@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelkiln.sources.tables import read_table
+from panelkiln.session import fresh_folder
+from panelkiln.sources.tables import read_table, write_table
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +50,22 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bars(_lines(table(spark, sf_dir, "lineitem")), LINE_ORDER)
 
 
+_LANDED: dict[tuple[str, str], str] = {}
+
+
+def landed_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``bars`` as the stored price table that features are built from.
+
+    Landing prices is a step of its own, done once per session and data folder.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LANDED:
+        path = fresh_folder(spark, "prices")
+        write_table(bars(spark, sf_dir), path, sort_by=["symbol", "date"])
+        _LANDED[key] = path
+    return read_table(spark, _LANDED[key])
+
+
 def bars_by_flag(spark: SparkSession, sf_dir: str, returned: bool) -> DataFrame:
     """Bars of the returned lines, or of all the others: two overlapping halves of one table."""
     lines = _lines(table(spark, sf_dir, "lineitem"))

@@ -25,7 +25,7 @@ def r6(*names: str, digits: int = 6) -> str:
 
 
 def price_panel(spark, sf_dir):
-    return price_features.build_price_features(a.bars(spark, sf_dir), lookbacks=LOOKBACKS)
+    return price_features.build_price_features(a.landed_bars(spark, sf_dir), lookbacks=LOOKBACKS)
 
 
 @query(
@@ -48,7 +48,7 @@ def _price_features(spark, sf_dir):
 )
 def labelled_returns(spark, sf_dir):
     """Lagged returns with the next 5-row return."""
-    bars = a.bars(spark, sf_dir)
+    bars = a.landed_bars(spark, sf_dir)
     features = price_features.build_price_features(bars, lookbacks=(1, 5, 20))
     kept = features.select("decision_date", "symbol", "ret_1d", "ret_5d", "ret_20d", "feature_available_date")
     return rounded(feature_store.merge_labels(kept, labels.build_labels(bars, horizon=5)))
@@ -65,7 +65,7 @@ def labelled_returns(spark, sf_dir):
 )
 def _padded_returns(spark, sf_dir):
     w = frames.history("date")
-    rows = a.bars(spark, sf_dir).select("symbol", "date", F.when(F.col("volume") > 10, F.col("close")).alias("px"))
+    rows = a.landed_bars(spark, sf_dir).select("symbol", "date", F.when(F.col("volume") > 10, F.col("close")).alias("px"))
     p = F.col("_p")
     return rounded(
         rows.withColumn("_p", frames.pad(F.col("px"), w)).select(
@@ -89,7 +89,7 @@ def _padded_returns(spark, sf_dir):
 def _raw_return(spark, sf_dir):
     """Adjusted prices where the table has them, with the opt-in same-day return."""
     features = price_features.build_price_features(
-        a.bars(spark, sf_dir), adjusted=True, lookbacks=(2,), include_raw_return=True
+        a.landed_bars(spark, sf_dir), adjusted=True, lookbacks=(2,), include_raw_return=True
     )
     return rounded(features.select("decision_date", "symbol", "ret_1d_raw", "ret_2d", "feature_available_date"))
 
@@ -102,7 +102,7 @@ def _raw_return(spark, sf_dir):
     UNION ALL SELECT 'adjusted_empty', count(*), round(avg(close), 4) + 0.0 FROM ebars""",
 )
 def _price_choice(spark, sf_dir):
-    bars = a.bars(spark, sf_dir)
+    bars = a.landed_bars(spark, sf_dir)
     empty = a.event_bars(spark, sf_dir).withColumn("adj_close", F.lit(None).cast("double"))
 
     def summary(prices, adjusted, name):
@@ -119,7 +119,7 @@ def _price_choice(spark, sf_dir):
     round(close / avg(close) OVER (PARTITION BY date), 6) + 0.0 AS px_to_market FROM bars""",
 )
 def _market_mean(spark, sf_dir):
-    rows = price_features.priced_rows(a.bars(spark, sf_dir), adjusted=False)
+    rows = price_features.priced_rows(a.landed_bars(spark, sf_dir), adjusted=False)
     joined = attach_daily(rows, price_features.market_price(rows), "date")
     return rounded(joined.select("symbol", "date", (F.col("px") / F.col("mkt_px")).alias("px_to_market")))
 
@@ -130,7 +130,7 @@ def _market_mean(spark, sf_dir):
     avg(CASE WHEN future_return_20d IS NULL THEN 1.0 ELSE 0.0 END) AS nan_ratio FROM labels_h""",
 )
 def _label_summary(spark, sf_dir):
-    built = labels.build_labels(a.bars(spark, sf_dir), horizon=20)
+    built = labels.build_labels(a.landed_bars(spark, sf_dir), horizon=20)
     return labels.label_summary(built, "future_return_20d")
 
 
@@ -140,7 +140,7 @@ def _label_summary(spark, sf_dir):
     f"{r6('future_return_20d')}, horizon FROM labels_h",
 )
 def _forward_labels(spark, sf_dir):
-    return rounded(labels.build_labels(a.bars(spark, sf_dir), horizon=20))
+    return rounded(labels.build_labels(a.landed_bars(spark, sf_dir), horizon=20))
 
 
 EARNINGS_SQL = f"""reports AS (
@@ -168,7 +168,7 @@ def _earnings_events(spark, sf_dir):
     FROM feats LEFT JOIN events_e USING (decision_date, symbol)""",
 )
 def _features_with_earnings(spark, sf_dir):
-    features = price_features.build_price_features(a.bars(spark, sf_dir), lookbacks=(5,))
+    features = price_features.build_price_features(a.landed_bars(spark, sf_dir), lookbacks=(5,))
     joined = feature_store.with_earnings(
         features.select("decision_date", "symbol", "ret_5d"), a.earnings(spark, sf_dir), shift_days=1
     )
@@ -190,7 +190,7 @@ def _days(spark, sf_dir):
 )
 def _members_only(spark, sf_dir):
     """Features on days the symbol is in a static universe."""
-    bars = a.bars(spark, sf_dir)
+    bars = a.landed_bars(spark, sf_dir)
     features = price_features.build_price_features(bars, lookbacks=(5,))
     suppliers = a.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("symbol"))
     membership = static_membership(suppliers, *_days(spark, sf_dir))
@@ -204,7 +204,7 @@ def _members_only(spark, sf_dir):
     {r6('future_return_20d')} FROM feats JOIN labels_h USING (decision_date, symbol) WHERE isodow(decision_date) < 6""",
 )
 def _labelled_members(spark, sf_dir):
-    bars = a.bars(spark, sf_dir)
+    bars = a.landed_bars(spark, sf_dir)
     suppliers = a.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("symbol"))
     membership = static_membership(suppliers, *_days(spark, sf_dir))
     features = price_features.build_price_features(bars, lookbacks=(1,))

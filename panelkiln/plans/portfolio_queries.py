@@ -10,10 +10,11 @@ from panelkiln.operators.rows import top_rows
 from panelkiln.plans import adapters as a
 from panelkiln.plans import sql_parts as s
 from panelkiln.plans.registry import counted, query, rounded
+from panelkiln.session import stored
 
 
 def merged_panel(spark, sf_dir, lookbacks=(1, 5), horizon=5):
-    bars = a.bars(spark, sf_dir)
+    bars = a.landed_bars(spark, sf_dir)
     features = price_features.build_price_features(bars, lookbacks=lookbacks)
     return feature_store.merge_labels(features, labels.build_labels(bars, horizon=horizon))
 
@@ -31,6 +32,11 @@ def predictions(spark, sf_dir):
     )
 
 
+def stored_predictions(spark, sf_dir):
+    """Predictions as a table: a portfolio looks at them several times."""
+    return stored(predictions(spark, sf_dir), "predictions")
+
+
 # --- folds --------------------------------------------------------------------------------------
 
 DAYS_SQL = """days AS (SELECT date, row_number() OVER (ORDER BY date) - 1 AS pos FROM (
@@ -96,7 +102,7 @@ LAST_FOLD_SQL = f"{FOLDS_SQL}, fold1 AS (SELECT * FROM purged WHERE fold = (SELE
 )
 def _rows_of_last_fold(spark, sf_dir):
     fold = folds.last_fold(purged_folds(spark, sf_dir))
-    tagged = folds.tag_parts(a.bars(spark, sf_dir), fold, on="date")
+    tagged = folds.tag_parts(a.landed_bars(spark, sf_dir), fold, on="date")
     return tagged.groupBy("symbol", "split").agg(counted("n"), F.sum("volume").alias("volume"))
 
 
@@ -124,7 +130,7 @@ merged AS (SELECT * FROM feats JOIN labels_h USING (decision_date, symbol))"""
     UNION ALL SELECT 'late_features', count(*), false, 'feature_available_date_not_before_decision_date rows=' || count(*) FROM feats""",
 )
 def _date_audits(spark, sf_dir):
-    bars = a.bars(spark, sf_dir)
+    bars = a.landed_bars(spark, sf_dir)
     features = price_features.build_price_features(bars, lookbacks=(1,))
     late = features.withColumn("feature_available_date", F.col("decision_date"))
     parts = {
@@ -160,7 +166,7 @@ def _feature_target_correlation(spark, sf_dir):
 )
 def _leakage_gate(spark, sf_dir):
     """A feature that is the target in disguise must fail the gate."""
-    merged = merged_panel(spark, sf_dir).withColumn("leak", F.col("future_return_5d") * 2 + 1)
+    merged = stored(merged_panel(spark, sf_dir)).withColumn("leak", F.col("future_return_5d") * 2 + 1)
     gate = audit.leakage_gate(
         features=merged,
         labels=merged,
@@ -228,7 +234,7 @@ def _rank_ic_with_ties(spark, sf_dir):
 )
 def _evaluation(spark, sf_dir):
     fold = folds.last_fold(purged_folds(spark, sf_dir))
-    preds = folds.tag_parts(predictions(spark, sf_dir), fold).withColumn("model_name", F.lit("reversal"))
+    preds = folds.tag_parts(stored_predictions(spark, sf_dir), fold).withColumn("model_name", F.lit("reversal"))
     table = metrics.evaluate_predictions(preds).withColumn("days", F.size("daily").cast("long")).drop("daily")
     return rounded(table)
 
@@ -333,7 +339,7 @@ DAILY_COLUMNS = (
 
 
 def _daily(spark, sf_dir, rules):
-    daily, _ = portfolio.run_portfolio(predictions(spark, sf_dir), rules)
+    daily, _ = portfolio.run_portfolio(stored_predictions(spark, sf_dir), rules)
     shown = daily.withColumn("log_equity", F.ln("equity")).drop("equity")
     return rounded(shown, commission=9, slippage=9, cost_total=9, slip_bps_est=9)
 
@@ -357,7 +363,7 @@ def _weekly_long_short(spark, sf_dir):
     f"WITH {portfolio_sql(4, 7, True, 0.2, True)} SELECT date, symbol, round(weight, 6) + 0.0 AS weight, round(y_pred, 6) + 0.0 AS y_pred, round(y_true, 6) + 0.0 AS y_true FROM pos",
 )
 def _weekly_positions(spark, sf_dir):
-    _, positions = portfolio.run_portfolio(predictions(spark, sf_dir), LONG_SHORT)
+    _, positions = portfolio.run_portfolio(stored_predictions(spark, sf_dir), LONG_SHORT)
     return rounded(positions)
 
 
@@ -367,7 +373,7 @@ def _weekly_positions(spark, sf_dir):
 )
 def _turnover(spark, sf_dir):
     """Includes the unwinding after the last rebalance."""
-    rows = portfolio.usable_predictions(predictions(spark, sf_dir))
+    rows = portfolio.usable_predictions(stored_predictions(spark, sf_dir))
     days = portfolio.schedule(rows, "weekly")
     return rounded(portfolio.trades(portfolio.target_positions(rows, days, LONG_SHORT), LONG_SHORT))
 
@@ -379,7 +385,7 @@ SUMMARY_SQL = """SELECT count(*) AS days, round(avg(net_return) / stddev_samp(ne
 
 @query("a21_portfolio_summary", f"WITH {portfolio_sql(5, 5, False, 0.05, False)} {SUMMARY_SQL}")
 def _portfolio_summary(spark, sf_dir):
-    daily, _ = portfolio.run_portfolio(predictions(spark, sf_dir), LONG_ONLY)
+    daily, _ = portfolio.run_portfolio(stored_predictions(spark, sf_dir), LONG_ONLY)
     row = portfolio.portfolio_summary(daily)
     return rounded(row.withColumn("log_return", F.log1p("total_return")).drop("total_return"), avg_cost=9)
 

@@ -87,7 +87,7 @@ def _price_jumps(spark, sf_dir):
     f"WITH {s.BARS} SELECT symbol, count(date) AS obs FROM bars GROUP BY symbol HAVING count(date) < 530",
 )
 def _thin_symbols(spark, sf_dir):
-    return quality.thin_symbols(a.bars(spark, sf_dir), min_obs=530)
+    return quality.thin_symbols(a.landed_bars(spark, sf_dir), min_obs=530)
 
 
 @query(
@@ -97,7 +97,7 @@ def _thin_symbols(spark, sf_dir):
            count(*) FILTER (obs >= 530) AS symbols_after_filter FROM o""",
 )
 def _symbol_totals(spark, sf_dir):
-    return quality.symbol_totals(a.bars(spark, sf_dir), min_obs=530)
+    return quality.symbol_totals(a.landed_bars(spark, sf_dir), min_obs=530)
 
 
 def _action_share(line: int, limit: str, name: str) -> str:
@@ -236,7 +236,7 @@ def _row_filters(spark, sf_dir):
 def _feature_selection(spark, sf_dir):
     from panelkiln.operators.price_features import build_price_features
 
-    features = build_price_features(a.bars(spark, sf_dir), lookbacks=(1, 5))
+    features = build_price_features(a.landed_bars(spark, sf_dir), lookbacks=(1, 5))
     names = feature_store.select_features(
         features.columns, "future_return_5d", exclude_prefixes=["vol", "adv"], exclude_patterns=[r"^corr_.*\d+d$"]
     )
@@ -248,7 +248,7 @@ def _feature_selection(spark, sf_dir):
     f"WITH {s.BARS} SELECT symbol, count(*) AS n FROM bars WHERE date BETWEEN DATE '1996-02-03' AND DATE '1998-07-31' GROUP BY symbol",
 )
 def _date_window(spark, sf_dir):
-    rows = a.bars(spark, sf_dir).filter(F.col("date").between("1996-02-03", "1998-07-31"))
+    rows = a.landed_bars(spark, sf_dir).filter(F.col("date").between("1996-02-03", "1998-07-31"))
     return rows.groupBy("symbol").agg(counted("n"))
 
 
@@ -258,5 +258,5 @@ def _date_window(spark, sf_dir):
       SELECT symbol FROM bars GROUP BY symbol HAVING count(date) < 530)""",
 )
 def _excluded_symbols(spark, sf_dir):
-    bars = a.bars(spark, sf_dir)
+    bars = a.landed_bars(spark, sf_dir)
     return feature_store.without_symbols(bars, quality.thin_symbols(bars, 530)).select("symbol", "date", "volume")

@@ -47,7 +47,12 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """The same rows, computed once and read from reliable storage afterwards."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+def stored(df: DataFrame, label: str = "stored") -> DataFrame:
+    """The same rows, computed once and read from a table in the shared folder afterwards.
+
+    For results that a plan needs several times: Spark would otherwise compute
+    them once per use. A lost executor costs nothing, as the table outlives it.
+    """
+    path = fresh_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
