@@ -15,6 +15,7 @@ from panelkiln.functions.dates import iso_week
 from panelkiln.functions.numeric import finite, number, ratio
 from panelkiln.operators.metrics import sharpe, with_drawdown
 from panelkiln.operators.rows import attach_daily, top_rows
+from panelkiln.session import stored
 
 # Stands in for an unknown or zero traded value: trading it moves no price.
 UNKNOWN_LIQUIDITY = 1e12
@@ -131,10 +132,15 @@ def daily_positions(rows: DataFrame, days: DataFrame, positions: DataFrame, rule
 
 
 def run_portfolio(preds: DataFrame, rules: PortfolioRules = PortfolioRules()) -> tuple[DataFrame, DataFrame]:
-    """(daily, positions) of the portfolio; both are lazy."""
+    """(daily, positions) of the portfolio.
+
+    The schedule (a row per day) and the targets (at most ``max_names`` rows per
+    rebalance) are stored once, as each is needed several times; the large
+    prediction table should be a stored table too.
+    """
     rows = usable_predictions(preds)
-    days = schedule(rows, rules.rebalance)
-    targets = target_positions(rows, days, rules)
+    days = stored(schedule(rows, rules.rebalance), "schedule")
+    targets = stored(target_positions(rows, days, rules), "targets")
     held = daily_positions(rows, days, targets, rules)
 
     vol = F.coalesce("vol", F.lit(0.0))
