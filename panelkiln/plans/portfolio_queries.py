@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelkiln.functions.frames import correlation
+from panelkiln.functions.numeric import log
 from panelkiln.operators import audit, feature_store, folds, labels, metrics, portfolio, price_features, sweep
 from panelkiln.operators.rows import top_rows
 from panelkiln.plans import adapters as a
@@ -23,11 +23,11 @@ def predictions(spark, sf_dir):
     """Short-term reversal as the score, the next row's move as the outcome.
 
     Test prices change by multiples from row to row, so the move is damped: a
-    tenth of its log keeps the equity curve finite.
+    hundredth of its log keeps the equity curve finite.
     """
     merged = merged_panel(spark, sf_dir, (5,), 1)
     return merged.select(
-        "decision_date", "symbol", (-F.col("ret_5d")).alias("y_pred"), (F.log1p("future_return_1d") / 10.0).alias("y_true"),
+        "decision_date", "symbol", (-F.col("ret_5d")).alias("y_pred"), (F.log1p("future_return_1d") / 100.0).alias("y_true"),
         "adv20_dollar", "vol_20d",
     )
 
@@ -334,14 +334,23 @@ DAILY_COLUMNS = (
         for c in ("gross_return", "net_return", "turnover", "log_equity", "drawdown")
     )
     + ", "
-    + ", ".join(f"round({c}, 9) + 0.0 AS {c}" for c in ("commission", "slippage", "cost_total", "slip_bps_est"))
+    + "round(slip_bps_est, 9) + 0.0 AS slip_bps_est, round(commission * 1e4, 6) + 0.0 AS commission_bps, "
+    + ", ".join(f"CASE WHEN {c} > 0 THEN round(ln({c}), 6) + 0.0 END AS ln_{c}" for c in ("slippage", "cost_total"))
 )
 
 
 def _daily(spark, sf_dir, rules):
     daily, _ = portfolio.run_portfolio(stored_predictions(spark, sf_dir), rules)
-    shown = daily.withColumn("log_equity", F.ln("equity")).drop("equity")
-    return rounded(shown, commission=9, slippage=9, cost_total=9, slip_bps_est=9)
+    # Costs are fractions of round numbers, so they sit on rounding ties; their logs do not.
+    shown = daily.withColumns(
+        {
+            "log_equity": F.ln("equity"),
+            "commission_bps": F.col("commission") * 1e4,
+            "ln_slippage": log(F.col("slippage")),
+            "ln_cost_total": log(F.col("cost_total")),
+        }
+    )
+    return rounded(shown.drop("equity", "commission", "slippage", "cost_total"), slip_bps_est=9)
 
 
 LONG_ONLY = portfolio.PortfolioRules(topn=5, max_names=5)
@@ -379,7 +388,7 @@ def _turnover(spark, sf_dir):
 
 
 SUMMARY_SQL = """SELECT count(*) AS days, round(avg(net_return) / stddev_samp(net_return) * sqrt(252), 6) + 0.0 AS sharpe,
-  round(min(drawdown), 6) + 0.0 AS max_drawdown, round(avg(turnover), 6) + 0.0 AS avg_turnover, round(avg(cost_total), 9) + 0.0 AS avg_cost,
+  round(min(drawdown), 6) + 0.0 AS max_drawdown, round(avg(turnover), 6) + 0.0 AS avg_turnover, round(ln(avg(cost_total)), 6) + 0.0 AS ln_avg_cost,
   round(arg_max(log_equity, date), 6) + 0.0 AS log_return FROM daily"""
 
 
@@ -387,7 +396,8 @@ SUMMARY_SQL = """SELECT count(*) AS days, round(avg(net_return) / stddev_samp(ne
 def _portfolio_summary(spark, sf_dir):
     daily, _ = portfolio.run_portfolio(stored_predictions(spark, sf_dir), LONG_ONLY)
     row = portfolio.portfolio_summary(daily)
-    return rounded(row.withColumn("log_return", F.log1p("total_return")).drop("total_return"), avg_cost=9)
+    shown = row.withColumns({"log_return": F.log1p("total_return"), "ln_avg_cost": F.ln("avg_cost")})
+    return rounded(shown.drop("total_return", "avg_cost"))
 
 
 # --- sweeps -------------------------------------------------------------------------------------

@@ -84,5 +84,5 @@ MEMBERS = """members AS (
 
 PREDICTIONS = f"""{BARS}, {features([5])}, {labels(1)},
 preds AS (
-  SELECT decision_date, symbol, -ret_5d AS y_pred, ln(1 + future_return_1d) / 10 AS y_true, adv20_dollar, vol_20d
+  SELECT decision_date, symbol, -ret_5d AS y_pred, ln(1 + future_return_1d) / 100 AS y_true, adv20_dollar, vol_20d
   FROM feats JOIN labels_h USING (decision_date, symbol))"""
