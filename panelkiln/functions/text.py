@@ -32,10 +32,16 @@ def sentiment(
     """(positive words - negative words) / words; NULL when the text has no word."""
     words = F.regexp_extract_all(F.lower(text), F.lit(WORD_PATTERN), F.lit(0))
 
-    def hits(lexicon: Sequence[str]) -> Column:
-        return F.size(F.filter(words, lambda w: w.isin(list(lexicon))))
-
-    return ratio((hits(positive) - hits(negative)).cast("double"), F.size(words).cast("double"))
+    def value(word: Column) -> Column:
+        return F.when(word.isin(list(positive)), 1.0).otherwise(0.0) - F.when(word.isin(list(negative)), 1.0).otherwise(0.0)
+
+    # One fold, so the text is cut into words once.
+    return F.aggregate(
+        words,
+        F.struct(F.lit(0.0).alias("total"), F.lit(0.0).alias("n")),
+        lambda acc, w: F.struct((acc["total"] + value(w)).alias("total"), (acc["n"] + 1.0).alias("n")),
+        lambda acc: ratio(acc["total"], acc["n"]),
+    )
 
 
 def join_text(*parts: Column) -> Column:

@@ -14,6 +14,7 @@ from panelkiln.operators import news as news_ops
 from panelkiln.operators.earnings import earnings_events
 from panelkiln.operators.price_features import build_price_features
 from panelkiln.operators.rows import attach_daily
+from panelkiln.session import stored
 
 KEY = ["decision_date", "symbol"]
 NOT_FEATURES = ("decision_date", "symbol", "label_date", "horizon", "feature_available_date", "feature_version")
@@ -97,7 +98,8 @@ def build_feature_store(
             positive=positive,
             negative=negative,
         )
-        features = with_news(features, groups)
+        # Counts are small next to the articles; stored, the text is scored once for both daily tables.
+        features = with_news(features, stored(groups, "story-groups"))
     return features
 
 

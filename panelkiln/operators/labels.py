@@ -2,30 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, WindowSpec, functions as F
 
 from panelkiln.functions.columns import price_column, require
 from panelkiln.functions.frames import history
 from panelkiln.functions.numeric import growth, number
 
 
-def build_labels(prices: DataFrame, *, horizon: int, adjusted: bool = False) -> DataFrame:
-    """Return from each row to the symbol's ``horizon``-th next row; rows without one are dropped."""
+def forward_return(date: str, price: str, w: WindowSpec, horizon: int) -> dict[str, Column]:
+    """Columns label_date, future_return_{horizon}d and horizon, looking ``horizon`` rows ahead."""
     if horizon < 1:
         raise ValueError("horizon must be >= 1")
+    ahead = F.lead(price, horizon).over(w)
+    return {
+        "label_date": F.lead(date, horizon).over(w),
+        f"future_return_{horizon}d": growth(ahead, F.col(price)),
+        "horizon": F.lit(horizon),
+    }
+
+
+def build_labels(prices: DataFrame, *, horizon: int, adjusted: bool = False) -> DataFrame:
+    """Return from each row to the symbol's ``horizon``-th next row; rows without one are dropped."""
     require(prices, "symbol", "date", "close")
-    w = history("date")
-    target = f"future_return_{horizon}d"
+    label = forward_return("date", "px", history("date"), horizon)
     return (
-        prices.select("symbol", F.to_date("date").alias("date"), number(price_column(prices, adjusted)).alias("px"))
-        .select(
-            F.col("date").alias("decision_date"),
-            F.lead("date", horizon).over(w).alias("label_date"),
+        prices.select(
             "symbol",
-            growth(F.lead("px", horizon).over(w), F.col("px")).alias(target),
-            F.lit(horizon).alias("horizon"),
+            F.to_date("date").alias("decision_date"),
+            F.to_date("date").alias("date"),
+            number(price_column(prices, adjusted)).alias("px"),
         )
-        .dropna(subset=["label_date", target])
+        .withColumns(label)
+        .select("decision_date", "label_date", "symbol", *[c for c in label if c != "label_date"])
+        .dropna(subset=[c for c in label if c != "horizon"])
     )
 
 

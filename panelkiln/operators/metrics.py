@@ -14,6 +14,7 @@ from panelkiln.session import stored
 
 MIN_NAMES = 3
 TRADING_DAYS = 252
+MAX_BUCKETS = 4096
 
 
 def _pairs(preds: DataFrame, keys: Sequence[str], score: str, label: str) -> DataFrame:
@@ -52,7 +53,8 @@ def daily_rank_ic(
         .agg(F.count(F.lit(1)).alias("_n")),
         "cells",
     )
-    if cells.count() <= one_task_cells:
+    n_cells = cells.count()
+    if n_cells <= one_task_cells:
         ranked = cells.withColumns(
             {
                 "_rs": tied_rank("_day", "_s", "_n"),
@@ -61,8 +63,10 @@ def daily_rank_ic(
             }
         )
     else:
-        rank_s = spread_ranks(cells, "_day", "_s", "_n").withColumnRenamed("rank", "_rs")
-        rank_y = spread_ranks(cells, "_day", "_y", "_n").withColumnRenamed("rank", "_ry").drop("group_size")
+        # Enough buckets that even a day holding every cell leaves each task its share.
+        buckets = min(MAX_BUCKETS, 2 + 2 * n_cells // max(1, one_task_cells))
+        rank_s = spread_ranks(cells, "_day", "_s", "_n", buckets).withColumnRenamed("rank", "_rs")
+        rank_y = spread_ranks(cells, "_day", "_y", "_n", buckets).withColumnRenamed("rank", "_ry").drop("group_size")
         ranked = cells.join(rank_s, ["_day", "_s"]).join(rank_y, ["_day", "_y"])
     # Ranks of N names average (N + 1) / 2, so centred sums need no second pass.
     middle = (F.col("group_size") + 1) / 2.0

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from panelkiln.functions.columns import price_column, require
 from panelkiln.functions.frames import before, history, pad, rolling, rolling_correlation
 from panelkiln.functions.numeric import growth, log, number, ratio, zero_as_null
+from panelkiln.operators.labels import forward_return
 from panelkiln.operators.rows import attach_daily
 
 WINDOW_ROWS = 20
@@ -37,6 +38,7 @@ def build_price_features(
     adjusted: bool = False,
     lookbacks: Sequence[int] = (1, 5, 20, 60, 120),
     include_raw_return: bool = False,
+    label_horizon: int | None = None,
 ) -> DataFrame:
     """Features usable on ``decision_date``, each computed from earlier rows only.
 
@@ -45,6 +47,10 @@ def build_price_features(
     of a symbol has no earlier row and is dropped. ``include_raw_return`` adds
     the same-day return ``ret_1d_raw``, which is look-ahead for a decision taken
     that day, and is therefore off unless asked for.
+
+    With ``label_horizon`` the forward return is taken in the same pass and rows
+    without one are dropped: the same rows as joining ``build_labels``, without
+    shuffling both sides by (day, symbol).
     """
     rows = priced_rows(prices, adjusted)
     w = history("date")
@@ -76,7 +82,10 @@ def build_price_features(
         return rolling(aggregate(name), F.col(name), last20, WINDOW_ROWS)
 
     vol_spread = over20(F.stddev_samp, "_vol") + F.lit(1e-12)
-    features = returns.withColumns(
+    label = {}
+    if label_horizon is not None:
+        label = forward_return("date", "px", w, label_horizon)
+    features = returns.withColumns(label).withColumns(
         {
             "corr_mkt_20d": rolling_correlation(F.col("ret_1d_raw"), F.col("_mkt_ret"), last20, WINDOW_ROWS),
             "vol_20d": over20(F.stddev_samp, "_logret"),
@@ -92,6 +101,8 @@ def build_price_features(
     if {20, 60} <= set(lookbacks):
         features = features.withColumn("mom_20_60", F.col("ret_20d") - F.col("ret_60d"))
         names.append("mom_20_60")
+    if label:
+        features = features.dropna(subset=[c for c in label if c != "horizon"])
     return features.filter(F.col("feature_available_date").isNotNull()).select(
-        F.col("date").alias("decision_date"), "symbol", *names, "feature_available_date"
+        F.col("date").alias("decision_date"), "symbol", *names, "feature_available_date", *label
     )

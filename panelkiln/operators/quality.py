@@ -45,18 +45,25 @@ def _is_missing(name: str) -> Column:
 
 def missing_ratios(prices: DataFrame) -> DataFrame:
     """One row: the missing share of each price column and the mean of those shares."""
+    return prices.agg(*_missing_figures(prices))
+
+
+def _missing_figures(prices: DataFrame) -> list[Column]:
     names = _present(prices)
-    shares = prices.agg(*[F.avg(_is_missing(c).cast("double")).alias(f"missing_{c}") for c in names])
-    total = sum((F.col(f"missing_{c}") for c in names), F.lit(0.0))
-    return shares.withColumn("missing_ratio_overall", total / F.lit(float(max(1, len(names)))))
+    shares = {c: F.avg(_is_missing(c).cast("double")) for c in names}
+    overall = sum(shares.values(), F.lit(0.0)) / F.lit(float(max(1, len(names))))
+    return [*[share.alias(f"missing_{c}") for c, share in shares.items()], overall.alias("missing_ratio_overall")]
 
 
 def duplicates(prices: DataFrame) -> DataFrame:
     """One row: rows beyond the first of each (date, symbol), and their share."""
-    per_key = prices.groupBy("date", "symbol").agg(F.count(F.lit(1)).alias("n"))
-    extra = F.coalesce(F.sum(F.col("n") - 1), F.lit(0))
-    rows = F.greatest(F.coalesce(F.sum("n"), F.lit(0)), F.lit(1))
-    return per_key.agg(extra.alias("duplicates_count"), (extra / rows).alias("duplicates_ratio"))
+    return symbol_profile(prices).agg(*_duplicate_figures())
+
+
+def _duplicate_figures() -> list[Column]:
+    rows = F.coalesce(F.sum("rows"), F.lit(0))
+    extra = rows - F.coalesce(F.sum("days"), F.lit(0))
+    return [extra.alias("duplicates_count"), (extra / F.greatest(rows, F.lit(1))).alias("duplicates_ratio")]
 
 
 def odd_bar(prices: DataFrame) -> Column:
@@ -71,13 +78,17 @@ def odd_bar(prices: DataFrame) -> Column:
 
 def bar_anomalies(prices: DataFrame) -> DataFrame:
     """One row: count and share of odd bars, and the share of rows with zero volume."""
+    return prices.agg(*_anomaly_figures(prices))
+
+
+def _anomaly_figures(prices: DataFrame) -> list[Column]:
     odd = odd_bar(prices).cast("long")
     idle = truthy(number("volume") == 0).cast("double") if "volume" in prices.columns else F.lit(None).cast("double")
-    return prices.agg(
+    return [
         F.coalesce(F.sum(odd), F.lit(0)).alias("ohlc_anomaly_rows"),
         F.avg(odd.cast("double")).alias("ohlc_anomaly_ratio"),
         F.avg(idle).alias("volume_zero_ratio"),
-    )
+    ]
 
 
 def quotes(prices: DataFrame) -> DataFrame:
@@ -99,26 +110,44 @@ def _quote_order():
     return Window.partitionBy("symbol").orderBy("date", "close", "adj_close")
 
 
-def idle_streaks(prices: DataFrame, length: int) -> DataFrame:
-    """One row: number of ``length``-row stretches without volume, and their share of all rows.
+def symbol_profile(prices: DataFrame, *, streak: int = 5, jump: float = 0.2) -> DataFrame:
+    """Per symbol: rows, dated rows, distinct days, idle stretches of ``streak`` rows, jumps above ``jump``.
 
-    A run of L idle rows holds L - length + 1 such stretches. A quote with an
-    active row starts a new run with its idle rows.
+    A run of L idle rows holds L - streak + 1 idle stretches, and a quote with an
+    active row starts a new run with its idle rows. After the quotes are formed,
+    everything happens inside one partitioning by symbol.
     """
-    starts = F.count_if(F.col("n") > F.col("n_idle")).over(_quote_order())
-    stretches = F.greatest(F.col("run") - F.lit(length - 1), F.lit(0))
-    return (
-        quotes(prices)
-        .withColumn("island", starts)
-        .groupBy("symbol", "island")
-        .agg(F.sum("n_idle").alias("run"), F.sum("n").alias("rows"))
+    w = _quote_order()
+    new_day = F.row_number().over(w).eqNullSafe(1) | ~F.col("date").eqNullSafe(F.lag("date").over(w))
+    jumped = truthy(F.col("close_move") > jump).cast("long")
+    runs = (
+        quote_returns(prices)
+        .withColumns({"run": F.count_if(F.col("n") > F.col("n_idle")).over(w), "new_day": new_day})
+        .groupBy("symbol", "run")
         .agg(
-            F.coalesce(F.sum(stretches), F.lit(0)).alias("zero_volume_streak_violations"),
-            (F.coalesce(F.sum(stretches), F.lit(0)) / F.greatest(F.sum("rows"), F.lit(1))).alias(
-                "zero_volume_streak_violation_ratio"
-            ),
+            F.sum("n").alias("rows"),
+            F.sum(F.when(F.col("date").isNotNull(), F.col("n")).otherwise(0)).alias("obs"),
+            F.count_if("new_day").alias("days"),
+            F.sum("n_idle").alias("idle"),
+            F.sum(jumped).alias("jumps"),
         )
     )
+    stretches = F.greatest(F.col("idle") - F.lit(streak - 1), F.lit(0))
+    sums = [F.sum(c).alias(c) for c in ("rows", "obs", "days", "jumps")]
+    return runs.groupBy("symbol").agg(*sums, F.sum(stretches).alias("idle_stretches"))
+
+
+def idle_streaks(prices: DataFrame, length: int) -> DataFrame:
+    """One row: number of ``length``-row stretches without volume, and their share of all rows."""
+    return symbol_profile(prices, streak=length).agg(*_streak_figures())
+
+
+def _streak_figures() -> list[Column]:
+    found = F.coalesce(F.sum("idle_stretches"), F.lit(0))
+    share = found / F.greatest(F.coalesce(F.sum("rows"), F.lit(0)), F.lit(1))
+    return [
+        found.alias("zero_volume_streak_violations"), share.alias("zero_volume_streak_violation_ratio")
+    ]
 
 
 def quote_returns(prices: DataFrame) -> DataFrame:
@@ -139,29 +168,31 @@ def quote_returns(prices: DataFrame) -> DataFrame:
 
 def price_jumps(prices: DataFrame, threshold: float) -> DataFrame:
     """One row: share of rows whose close moved by more than ``threshold``; first rows count as calm."""
-    jumped = truthy(F.col("close_move") > threshold).cast("long")
-    return quote_returns(prices).agg((F.sum(jumped) / F.sum("n")).alias("price_jump_ratio"))
+    return symbol_profile(prices, jump=threshold).agg(*_jump_figures())
 
 
-def observations(prices: DataFrame) -> DataFrame:
-    """Dated rows per symbol."""
-    return prices.groupBy("symbol").agg(F.count("date").alias("obs"))
+def _jump_figures() -> list[Column]:
+    return [F.try_divide(F.sum("jumps"), F.sum("rows")).alias("price_jump_ratio")]
 
 
 def thin_symbols(prices: DataFrame, min_obs: int) -> DataFrame:
     """Symbols with fewer than ``min_obs`` dated rows."""
-    return observations(prices).filter(F.col("obs") < min_obs)
+    return prices.groupBy("symbol").agg(F.count("date").alias("obs")).filter(F.col("obs") < min_obs)
 
 
 def symbol_totals(prices: DataFrame, min_obs: int) -> DataFrame:
     """One row: symbols in all, too thin, and left."""
-    thin = F.count_if(F.col("obs") < min_obs)
-    total = F.count(F.lit(1))
-    return observations(prices).filter(F.col("symbol").isNotNull()).agg(
-        total.alias("symbols_total"),
+    return prices.groupBy("symbol").agg(F.count("date").alias("obs")).agg(*_total_figures(min_obs))
+
+
+def _total_figures(min_obs: int) -> list[Column]:
+    known = F.col("symbol").isNotNull()
+    thin = F.count_if(known & (F.col("obs") < min_obs))
+    return [
+        F.count_if(known).alias("symbols_total"),
         thin.alias("symbols_excluded_min_obs"),
-        (total - thin).alias("symbols_after_filter"),
-    )
+        (F.count_if(known) - thin).alias("symbols_after_filter"),
+    ]
 
 
 def action_days(actions: DataFrame) -> DataFrame:
@@ -232,16 +263,16 @@ def quality_metrics(
 ) -> DataFrame:
     """All quality figures as (metric, value) rows."""
     t = {**DEFAULTS, **(thresholds or {})}
+    streak = int(t["volume_zero_streak_len"])
+    profile = symbol_profile(prices, streak=streak, jump=t["price_jump_threshold"])
+    figures = [*_duplicate_figures(), *_jump_figures(), *_total_figures(int(t["min_obs_per_symbol"]))]
+    if streak > 1 and "volume" in prices.columns:
+        figures += _streak_figures()
+    # Two passes over the prices: one for figures of single rows, one for those of symbols.
     parts = [
-        prices.agg(F.count(F.lit(1)).alias("rows")),
-        missing_ratios(prices),
-        duplicates(prices),
-        bar_anomalies(prices),
-        price_jumps(prices, t["price_jump_threshold"]),
-        symbol_totals(prices, int(t["min_obs_per_symbol"])),
+        prices.agg(F.count(F.lit(1)).alias("rows"), *_missing_figures(prices), *_anomaly_figures(prices)),
+        profile.agg(*figures),
     ]
-    if int(t["volume_zero_streak_len"]) > 1 and "volume" in prices.columns:
-        parts.append(idle_streaks(prices, int(t["volume_zero_streak_len"])))
     if adjusted and "adj_close" in prices.columns:
         parts.append(
             adjustment_violations(

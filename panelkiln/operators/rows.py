@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
@@ -46,13 +47,16 @@ def attach_daily(panel: DataFrame, daily: DataFrame, on: str, how: str = "left")
 
 
 def top_rows(
-    df: DataFrame, group: str, order: Sequence[Column], n: int, salt: Column, salts: int = 32
+    df: DataFrame, group: str, order: Sequence[Column], n: int, salt: Column, salts: int | None = None
 ) -> DataFrame:
     """The first ``n`` rows of each group, with their position ``rn``.
 
     A first round ranks within (group, salt), so a hot group is spread over
-    ``salts`` tasks; only its ``n * salts`` survivors meet in the second.
+    ``salts`` tasks; only its ``n * salts`` survivors meet in the second. For
+    small ``n`` Spark also cuts each input task down to its own first ``n`` rows
+    before the shuffle; for large ``n`` it does not, hence more salts.
     """
+    salts = salts or (32 if n <= 1000 else 2048)
     spread = Window.partitionBy(group, "_salt").orderBy(*order)
     final = Window.partitionBy(group).orderBy(*order)
     return (
@@ -76,7 +80,7 @@ def tied_rank(group: str, value: str, weight: str) -> Column:
     return upto - (ties - 1) / 2.0
 
 
-def spread_ranks(cells: DataFrame, group: str, value: str, weight: str, buckets: int = 64) -> DataFrame:
+def spread_ranks(cells: DataFrame, group: str, value: str, weight: str, buckets: int) -> DataFrame:
     """``tied_rank`` for groups too large for one task: (group, value, rank, group_size).
 
     Values are cut at quantiles of their distribution over all groups. A
@@ -85,12 +89,13 @@ def spread_ranks(cells: DataFrame, group: str, value: str, weight: str, buckets:
     of the buckets below it, so where the cuts fall changes nothing but balance.
     ``cells`` is read several times and should be a stored table.
     """
-    cuts = cells.approxQuantile(value, [i / buckets for i in range(1, buckets)], 0.002)
-    placed = (
-        cells.groupBy(group, value)
-        .agg(F.sum(weight).alias("_ties"))
-        .withColumn("_bucket", F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col(value))))
-    )
+    cuts = cells.approxQuantile(value, [i / buckets for i in range(1, buckets)], 0.25 / buckets)
+    splits = sorted({float("-inf"), *cuts, float("inf")})
+    values = cells.groupBy(group, value).agg(F.sum(weight).alias("_ties"))
+    if len(splits) > 2:
+        placed = Bucketizer(splits=splits, inputCol=value, outputCol="_bucket").transform(values)
+    else:
+        placed = values.withColumn("_bucket", F.lit(0.0))
     below = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy(group, "_bucket")

@@ -12,7 +12,7 @@ from datetime import date
 from pyspark.sql import DataFrame, Window, functions as F
 
 from panelkiln.functions.columns import first_value, symbol_name
-from panelkiln.functions.dates import add_business_days, business_days, day, is_business_day
+from panelkiln.functions.dates import add_business_days, day, is_business_day
 from panelkiln.functions.text import ticker_from_json
 
 # Vendor column aliases.
@@ -106,11 +106,10 @@ def membership_intervals(current: DataFrame, events: DataFrame, start: date, end
 
 def membership_days(intervals: DataFrame) -> DataFrame:
     """Intervals spelled out as (date, symbol, is_member) rows on business days."""
-    return intervals.select(
-        F.explode(business_days(F.col("from_date"), F.col("to_date"))).alias("date"),
-        "symbol",
-        F.lit(True).alias("is_member"),
-    )
+    every_day = F.explode(F.sequence("from_date", "to_date"))
+    days = intervals.filter(F.col("from_date") <= F.col("to_date")).select(every_day.alias("date"), "symbol")
+    # Filtering the exploded rows, not the array, keeps the work in generated code.
+    return days.filter(is_business_day(F.col("date"))).withColumn("is_member", F.lit(True))
 
 
 def static_membership(symbols: DataFrame, start: date, end: date) -> DataFrame:

@@ -7,6 +7,8 @@ ship date = day, unit price = price), ``events`` give short bars and news,
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelkiln.session import fresh_folder
@@ -50,22 +52,28 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bars(_lines(table(spark, sf_dir, "lineitem")), LINE_ORDER)
 
 
-_LANDED: dict[tuple[str, str], str] = {}
-
+_LANDED: dict[tuple[str, str, str], str] = {}
 
-def landed_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``bars`` as the stored price table that features are built from.
 
-    Landing prices is a step of its own, done once per session and data folder.
-    """
-    key = (spark.sparkContext.applicationId, sf_dir)
+def _landed(spark: SparkSession, sf_dir: str, build: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
+    """A price table as stored on disk: landing is a step of its own, done once per session and data folder."""
+    key = (spark.sparkContext.applicationId, sf_dir, build.__name__)
     if key not in _LANDED:
-        path = fresh_folder(spark, "prices")
-        write_table(bars(spark, sf_dir), path, sort_by=["symbol", "date"])
+        path = fresh_folder(spark, build.__name__)
+        write_table(build(spark, sf_dir), path, sort_by=["symbol", "date"])
         _LANDED[key] = path
     return read_table(spark, _LANDED[key])
 
 
+def landed_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``bars`` as the stored price table that features are built from."""
+    return _landed(spark, sf_dir, bars)
+
+
+def landed_event_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _landed(spark, sf_dir, event_bars)
+
+
 def bars_by_flag(spark: SparkSession, sf_dir: str, returned: bool) -> DataFrame:
     """Bars of the returned lines, or of all the others: two overlapping halves of one table."""
     lines = _lines(table(spark, sf_dir, "lineitem"))

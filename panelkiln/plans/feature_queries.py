@@ -310,7 +310,7 @@ NEWS_FEATURES = [
 )
 def _news_features(spark, sf_dir):
     """members' features with rolled symbol and market news."""
-    bars = a.event_bars(spark, sf_dir)
+    bars = a.landed_event_bars(spark, sf_dir)
     weekdays = bars.filter(dates.is_business_day(F.col("date"))).select(
         "date", "symbol", F.lit(True).alias("is_member")
     )

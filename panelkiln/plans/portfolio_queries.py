@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelkiln.functions.numeric import log
-from panelkiln.operators import audit, feature_store, folds, labels, metrics, portfolio, price_features, sweep
+from panelkiln.operators import audit, folds, labels, metrics, portfolio, price_features, sweep
 from panelkiln.operators.rows import top_rows
 from panelkiln.plans import adapters as a
 from panelkiln.plans import sql_parts as s
@@ -14,9 +14,10 @@ from panelkiln.session import stored
 
 
 def merged_panel(spark, sf_dir, lookbacks=(1, 5), horizon=5):
-    bars = a.landed_bars(spark, sf_dir)
-    features = price_features.build_price_features(bars, lookbacks=lookbacks)
-    return feature_store.merge_labels(features, labels.build_labels(bars, horizon=horizon))
+    """Features with their labels, taken in one pass over each symbol."""
+    return price_features.build_price_features(
+        a.landed_bars(spark, sf_dir), lookbacks=lookbacks, label_horizon=horizon
+    )
 
 
 def predictions(spark, sf_dir):

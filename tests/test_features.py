@@ -133,3 +133,16 @@ def test_excluded_symbols_ignore_case(spark):
     df = spark.createDataFrame([("aaa",), ("BBB",), ("ccc",)], "symbol string")
     out = spark.createDataFrame([(" AAA",), ("bbb ",), ("bbb",)], "symbol string")
     assert [r[0] for r in feature_store.without_symbols(df, out).collect()] == ["ccc"]
+
+
+def test_labels_in_the_feature_pass_equal_the_join(spark):
+    prices = frame(spark, random_prices(seed=9), PRICE_SCHEMA)
+    features = price_features.build_price_features(prices, lookbacks=(1, 3))
+    joined = feature_store.merge_labels(features, labels.build_labels(prices, horizon=4))
+    single = price_features.build_price_features(prices, lookbacks=(1, 3), label_horizon=4)
+    assert sorted(single.columns) == sorted(joined.columns)
+    a, b = table(single, "symbol", "decision_date"), table(joined, "symbol", "decision_date")
+    assert (a["label_date"] == b["label_date"]).all()
+    assert_close(a, b, ["ret_3d", "vol_20d", "future_return_4d"])
+    plan = single._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan
