@@ -153,18 +153,18 @@ events_e AS (
 
 @query(
     "a02_earnings_events",
-    f"WITH {EARNINGS_SQL} SELECT decision_date, symbol, earnings_event, round(eps_surprise, 4) + 0.0 AS eps_surprise "
+    f"WITH {EARNINGS_SQL} SELECT decision_date, symbol, earnings_event, round(eps_surprise, 6) + 0.0 AS eps_surprise "
     "FROM events_e",
 )
 def _earnings_events(spark, sf_dir):
-    return rounded(earnings_ops.earnings_events(a.earnings(spark, sf_dir), shift_days=1), 4)
+    return rounded(earnings_ops.earnings_events(a.earnings(spark, sf_dir), shift_days=1), 6)
 
 
 @query(
     "j03_features_with_earnings",
     f"""WITH {s.BARS}, {s.features([5])}, {EARNINGS_SQL}
     SELECT decision_date, symbol, {r6('ret_5d')}, coalesce(earnings_event, 0.0) AS earnings_event,
-           round(coalesce(eps_surprise, 0.0), 4) + 0.0 AS eps_surprise
+           round(coalesce(eps_surprise, 0.0), 6) + 0.0 AS eps_surprise
     FROM feats LEFT JOIN events_e USING (decision_date, symbol)""",
 )
 def _features_with_earnings(spark, sf_dir):
@@ -172,7 +172,7 @@ def _features_with_earnings(spark, sf_dir):
     joined = feature_store.with_earnings(
         features.select("decision_date", "symbol", "ret_5d"), a.earnings(spark, sf_dir), shift_days=1
     )
-    return rounded(joined, eps_surprise=4)
+    return rounded(joined)
 
 
 def _days(spark, sf_dir):

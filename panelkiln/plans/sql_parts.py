@@ -31,12 +31,12 @@ RAW_PRICES = f"""{LINES}, prices AS (
 
 def features(lookbacks: list[int]) -> str:
     """Price features from ``bars``: each figure at its own row first, then lagged one row."""
-    rets = ", ".join(f"close / lag(close, {k}) OVER w - 1 AS r{k}" for k in lookbacks)
+    rets = ", ".join(f"close / nullif(lag(close, {k}) OVER w, 0) - 1 AS r{k}" for k in lookbacks)
     lagged = ", ".join(f"lag(r{k}) OVER w AS ret_{k}d" for k in lookbacks)
     mom = ", lag(r20) OVER w - lag(r60) OVER w AS mom_20_60" if {20, 60} <= set(lookbacks) else ""
     return f"""market AS (SELECT date, avg(close) AS mkt_px FROM bars GROUP BY date),
 f0 AS (
-  SELECT b.*, {rets}, close / lag(close) OVER w - 1 AS raw, lag(mkt_px, 1) OVER w / lag(mkt_px, 2) OVER w - 1 AS mr,
+  SELECT b.*, {rets}, close / nullif(lag(close) OVER w, 0) - 1 AS raw, lag(mkt_px, 1) OVER w / nullif(lag(mkt_px, 2) OVER w, 0) - 1 AS mr,
          lag(date) OVER w AS available
   FROM bars b JOIN market m USING (date) WINDOW w AS (PARTITION BY symbol ORDER BY date)),
 f1 AS (
