@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelkiln.session import fresh_folder
@@ -58,11 +59,17 @@ _LANDED: dict[tuple[str, str, str], str] = {}
 def _landed(spark: SparkSession, sf_dir: str, build: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
     """A price table as stored on disk: landing is a step of its own, done once per session and data folder."""
     key = (spark.sparkContext.applicationId, sf_dir, build.__name__)
-    if key not in _LANDED:
-        path = fresh_folder(spark, build.__name__)
-        write_table(build(spark, sf_dir), path, sort_by=["symbol", "date"])
-        _LANDED[key] = path
-    return read_table(spark, _LANDED[key])
+    if key in _LANDED:
+        try:
+            return read_table(spark, _LANDED[key])
+        except AnalysisException as error:
+            # The folder was emptied meanwhile: land the prices again.
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+    path = fresh_folder(spark, build.__name__)
+    write_table(build(spark, sf_dir), path, sort_by=["symbol", "date"])
+    _LANDED[key] = path
+    return read_table(spark, path)
 
 
 def landed_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
