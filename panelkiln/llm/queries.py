@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from panelkiln.llm.packing import pack
 from panelkiln.llm.simhash import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,3 +25,11 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
+
+
+@_query
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(_documents(spark, sf_dir).select("doc_id", "text"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
