@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from panelkiln.llm import mixing
 from panelkiln.llm.packing import pack
 from panelkiln.llm.simhash import near_duplicates
 
@@ -33,3 +34,13 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+@_query
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    mixed = mixing.mix(_documents(spark, sf_dir), mixing.label_weights(labels))
+    return mixed.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), "taken")
+
+
+ORACLES["op9_mixing"] = mixing.SQL
