@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from panelkiln.llm import mixing
 from panelkiln.llm.packing import pack
+from panelkiln.llm.secrets import secret_spans
 from panelkiln.llm.simhash import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,3 +45,22 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op9_mixing"] = mixing.SQL
+
+
+def _of_kinds(*kinds: str) -> Column:
+    return F.filter("spans", lambda s: s.kind.isin(*kinds))
+
+
+def _span_line(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.first, s.stop)), ",")
+
+
+@_query
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = ("assign", "access", "hex")
+    return secret_spans(_documents(spark, sf_dir)).select(
+        "doc_id",
+        *[F.size(_of_kinds(kind)).cast("long").alias(f"n_{kind}") for kind in base],
+        F.sha2(_span_line(_of_kinds(*base)), 256).alias("base_sha256"),
+        _span_line(F.col("spans")).alias("spans"),
+    )
