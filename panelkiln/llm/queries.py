@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from panelkiln.llm import mixing
+from panelkiln.llm.multiset import edit_study
 from panelkiln.llm.packing import pack
 from panelkiln.llm.secrets import secret_spans
 from panelkiln.llm.simhash import near_duplicates
@@ -64,3 +65,16 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(_span_line(_of_kinds(*base)), 256).alias("base_sha256"),
         _span_line(F.col("spans")).alias("spans"),
     )
+
+
+@_query
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_study(_documents(spark, sf_dir)).select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited_text", 256).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        "near_edited",
+        "near_next",
+    )
