@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from panelkiln.llm import mixing
+from panelkiln.llm import mixing, warc
 from panelkiln.llm.multiset import edit_study
 from panelkiln.llm.packing import pack
 from panelkiln.llm.secrets import secret_spans
 from panelkiln.llm.simhash import near_duplicates
+from panelkiln.session import fresh_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -78,3 +79,13 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         "near_edited",
         "near_next",
     )
+
+
+@_query
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = fresh_folder(spark, "warc")
+    warc.write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), folder)
+    return warc.read_archives(spark, folder).drop("url", "payload")
+
+
+ORACLES["op7_warc"] = warc.SQL
