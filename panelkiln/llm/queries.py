@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from panelkiln.llm import mixing, warc
 from panelkiln.llm.multiset import edit_study
 from panelkiln.llm.packing import pack
+from panelkiln.llm.quality import judged
 from panelkiln.llm.secrets import secret_spans
 from panelkiln.llm.simhash import near_duplicates
 from panelkiln.session import fresh_folder
@@ -89,3 +90,10 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op7_warc"] = warc.SQL
+
+
+@_query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(_documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_line_words", "kept"
+    )
