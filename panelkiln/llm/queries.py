@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from panelkiln.llm import mixing, warc
+from panelkiln.llm.debruijn import without_repeats
 from panelkiln.llm.multiset import edit_study
 from panelkiln.llm.packing import pack
 from panelkiln.llm.quality import judged
@@ -97,3 +98,9 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(_documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_line_words", "kept"
     )
+
+
+@_query
+def op2_debruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = without_repeats(_documents(spark, sf_dir))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
