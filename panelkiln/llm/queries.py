@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from panelkiln.llm import mixing, warc
+from panelkiln.llm import mixing, suffixes, warc
 from panelkiln.llm.debruijn import without_repeats
 from panelkiln.llm.multiset import edit_study
 from panelkiln.llm.packing import pack
@@ -104,3 +104,14 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_debruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = without_repeats(_documents(spark, sf_dir))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@_query
+def op3_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.without_repeats(_documents(spark, sf_dir)).select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
