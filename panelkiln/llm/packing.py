@@ -23,7 +23,11 @@ from panelkiln.llm.common import utf8
 
 #: Open pieces that a task keeps, and distinct words whose ids it remembers.
 OPEN = 512
-REMEMBERED = 250_000
+REMEMBERED = 800_000
+SHORT = 7
+
+#: Documents whose new words are looked up together.
+TOGETHER = 128
 
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, loss_tokens long, sequence_id long, offset long"
 
@@ -32,25 +36,76 @@ class WordIds(dict):
     """Ids of a text as little-endian unsigned 32-bit numbers.
 
     The tokenizer never joins what ASCII white space parts, so the ids of a text
-    are those of its words in turn, and words come back often.
+    are those of its words in turn, and words come back often. It also
+    lower-cases, and parts a letter or digit from punctuation that follows, so
+    that "Word," needs no more than "word" and ",". New words go
+    through it in one text, between marks that it keeps apart from any text.
     """
 
+    MARK, ENDS, SOME = "<|startoftext|>", b".,!?;:", 1000
+
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-
-    def of(self, text: bytes) -> bytes:
-        words = text.split()
-        if len(self) > REMEMBERED:
+        self.mark = self.tokenizer.token_to_id(self.MARK)
+        #: Tokens that end a run of letters, or of what else the tokenizer takes as one part.
+        self.last = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.last[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
+
+    def of(self, texts: list[bytes]) -> list[bytes]:
+        if self.mark is None:
+            return [self.plain(t) for t in texts]
+        lists = [None if b"<|" in t else t.lower().split() for t in texts]
+        if new := {w for words in lists if words for w in words if w not in self}:
+            if len(self) + len(new) > REMEMBERED:
+                self.forget()
+                new = {w for words in lists if words for w in words if w not in self}
+            self.learn(list(new))
+        get = self.__getitem__
+        return [self.plain(t) if words is None else b"".join(map(get, words)) for t, words in zip(texts, lists)]
+
+    def plain(self, text: bytes) -> bytes:
+        ids = self.tokenizer.encode(text.decode(), add_special_tokens=False).ids
+        return np.asarray(ids, "<u4").tobytes()
+
+    def forget(self) -> None:
+        """Long words first: they are seldom seen again."""
+        for w in [w for w in self if len(w) > SHORT]:
+            del self[w]
+        if len(self) > REMEMBERED // 2:
             self.clear()
-        new = [w for w in dict.fromkeys(words) if w not in self]
-        if new:
-            found = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-            self.update((w, np.asarray(e.ids, "<u4").tobytes()) for w, e in zip(new, found))
-        return b"".join(map(self.__getitem__, words))
+
+    def keep(self, words: list[bytes], ids: np.ndarray, stops: np.ndarray) -> None:
+        raw, ends = ids.tobytes(), (4 * stops).tolist()
+        self.update((w, raw[a:b]) for w, a, b in zip(words, [0, *ends[:-1]], ends))
+
+    def keep_marked(self, words: list[bytes]) -> None:
+        for some in (words[i : i + self.SOME] for i in range(0, len(words), self.SOME)):
+            ids = np.frombuffer(self.plain(self.MARK.encode().join(some)), "<u4")
+            marks = np.flatnonzero(ids == self.mark)
+            ids = np.delete(ids, marks)
+            self.keep(some, ids, np.append(marks - np.arange(len(marks)), len(ids)))
+
+    def learn(self, new: list[bytes]) -> None:
+        parts = []
+        for w in new:
+            stem = w.rstrip(self.ENDS)
+            n = len(stem) if stem[-1:].isalnum() else len(w)
+            parts.append((w[:n], w[n:]))
+        unknown = {p for pair in parts for p in pair if p and p not in self}
+        letters = [p for p in unknown if p.decode().isalpha()]  # at least one part each
+        for some in (letters[i : i + self.SOME] for i in range(0, len(letters), self.SOME)):
+            ids = np.frombuffer(self.plain(b" ".join(some)), "<u4")
+            stops = np.flatnonzero(self.last[ids]) + 1
+            if len(stops) == len(some):
+                self.keep(some, ids, stops)
+            else:
+                self.keep_marked(some)
+        self.keep_marked(list(unknown.difference(letters)))
+        self.update((a + b, self[a] + self[b]) for a, b in parts if b)
 
 
 @lru_cache(maxsize=2)
@@ -195,10 +250,16 @@ def pack(
             types = [pa.binary() if n == "ids" else pa.int64() for n in names]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
+        def tokenised(doc_ids: list, texts: list, loss: list) -> Iterator[tuple]:
+            for i in range(0, len(texts), TOGETHER):
+                some = slice(i, i + TOGETHER)
+                yield from zip(doc_ids[some], ids_of.of([t or b"" for t in texts[some]]), loss[some])
+
         done: list[tuple] = []
         for batch in batches:
-            for doc_id, text, loss_from in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), batch.column(2).to_pylist()):
-                ids = memoryview(ids_of.of(text or b"") + end)
+            columns = [batch.column(0).to_pylist(), utf8(batch.column(1)), batch.column(2).to_pylist()]
+            for doc_id, ids, loss_from in tokenised(*columns):
+                ids = memoryview(ids + end)
                 rest: Piece | None = Piece(doc_id, ids, 0, len(ids) // 4, loss_from, len(ids) // 4)
                 while rest and rest.fitting(max_tokens, loss_limit) == max_tokens:
                     full, rest = rest.cut(max_tokens)
