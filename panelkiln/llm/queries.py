@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from panelkiln.llm import mixing, suffixes, warc
+from panelkiln.llm import licenses, mixing, suffixes, warc
 from panelkiln.llm.debruijn import without_repeats
 from panelkiln.llm.multiset import edit_study
 from panelkiln.llm.packing import pack
@@ -115,3 +115,11 @@ def op3_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@_query
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_documents(spark, sf_dir)).drop("text_key")
+
+
+ORACLES["op4_licenses"] = licenses.SQL
