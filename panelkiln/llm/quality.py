@@ -136,14 +136,12 @@ def filtered(docs: DataFrame, **limits) -> DataFrame:
     """
     kept = judged(docs, **limits).where("kept").select("host", "text_key", "frequent").distinct()
     names = docs.columns
-    rows = docs.withColumns(
-        {
-            "__host": F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")),
-            "__key": text_key(F.col("text")),
-        }
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"),
+        F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")).alias("host"),
+        text_key(F.col("text")).alias("text_key"),
     )
-    kept = kept.select(F.col("host").alias("__host"), F.col("text_key").alias("__key"), F.col("frequent").alias("__frequent"))
-    rows = rows.join(kept, ["__host", "__key"]).select(*[F.col(f"`{c}`") for c in names], "__frequent")
+    rows = rows.join(kept, ["host", "text_key"]).select("row.*", F.col("frequent").alias("lines taken out"))
     at = names.index("text")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

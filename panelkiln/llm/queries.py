@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+import corpus_pipeline
 from panelkiln.llm import licenses, mixing, suffixes, warc
 from panelkiln.llm.debruijn import without_repeats
 from panelkiln.llm.multiset import edit_study
@@ -123,3 +124,8 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op4_licenses"] = licenses.SQL
+
+
+@_query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
