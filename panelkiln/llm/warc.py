@@ -116,6 +116,8 @@ def read_frames(archive: bytes, step: int = 1 << 16) -> Iterator[bytes]:
     view, at, learned = memoryview(archive), 0, None
     unpress = zstandard.ZstdDecompressor()
     while at < len(view):
+        if len(view) - at < 8:
+            raise ValueError("the archive ends within a record")
         magic, size = struct.unpack_from("<II", view, at)
         if magic in _SKIPPABLE:
             if magic == DICTIONARY_FRAME and learned is None:
