@@ -23,15 +23,12 @@ def first_value(
 
 
 def first_with_data(df: DataFrame, candidates: Sequence[str]) -> str | None:
-    """First candidate column with any numeric value, decided for the whole table.
-
-    Each probe stops at the first value it meets; an all-NULL Parquet column is
-    skipped from its statistics.
-    """
-    for name in candidates:
-        if name in df.columns and not df.select(name).filter(number(name).isNotNull()).isEmpty():
-            return name
-    return None
+    """First candidate column with any numeric value, decided for the whole table in one pass."""
+    names = [c for c in candidates if c in df.columns]
+    if not names:
+        return None
+    found = df.agg(*[F.bool_or(number(c).isNotNull()).alias(f"c{i}") for i, c in enumerate(names)]).first()
+    return next((c for c, holds in zip(names, found) if holds), None)
 
 
 def price_column(prices: DataFrame, adjusted: bool) -> str:

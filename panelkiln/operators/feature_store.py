@@ -8,12 +8,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from panelkiln.functions.columns import symbol_name
+from panelkiln.functions.dates import is_business_day
 from panelkiln.functions.frames import history, rolling, upto
 from panelkiln.functions.numeric import fill_zero
 from panelkiln.operators import news as news_ops
 from panelkiln.operators.earnings import earnings_events
 from panelkiln.operators.price_features import build_price_features
 from panelkiln.operators.rows import attach_daily
+from panelkiln.operators.universe import members_within
 from panelkiln.session import stored
 
 KEY = ["decision_date", "symbol"]
@@ -28,7 +30,13 @@ def member_days(membership: DataFrame) -> DataFrame:
 
 
 def members_only(panel: DataFrame, membership: DataFrame) -> DataFrame:
-    """Panel rows on days the symbol is a member."""
+    """Panel rows on days the symbol is a member.
+
+    ``membership`` lists days (date, symbol, is_member) or spans (symbol,
+    from_date, to_date), which hold on their business days and are not spelled out.
+    """
+    if {"from_date", "to_date"} <= set(membership.columns):
+        return members_within(panel, membership).filter(is_business_day(F.col("decision_date")))
     return panel.join(member_days(membership), KEY, "left_semi")
 
 
@@ -85,7 +93,9 @@ def build_feature_store(
     positive: Sequence[str] = news_ops.text.POSITIVE_WORDS,
     negative: Sequence[str] = news_ops.text.NEGATIVE_WORDS,
 ) -> DataFrame:
-    """All features per (decision_date, symbol) of the universe."""
+    """All features per (decision_date, symbol) of the universe; a universe without members is an error."""
+    if membership.isEmpty():
+        raise ValueError("membership is empty")
     features = build_price_features(
         prices, adjusted=adjusted, lookbacks=lookbacks, include_raw_return=include_raw_return
     )

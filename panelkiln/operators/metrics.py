@@ -9,12 +9,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelkiln.functions.frames import correlation
 from panelkiln.functions.numeric import finite, number, ratio
-from panelkiln.operators.rows import spread_ranks, tied_rank
+from panelkiln.operators.rows import BUCKETS, spread_ranks
 from panelkiln.session import stored
 
 MIN_NAMES = 3
 TRADING_DAYS = 252
-MAX_BUCKETS = 4096
 
 
 def _pairs(preds: DataFrame, keys: Sequence[str], score: str, label: str) -> DataFrame:
@@ -39,13 +38,13 @@ def daily_rank_ic(
     keys: Sequence[str] = ("decision_date",),
     score: str = "y_pred",
     label: str = "y_true",
-    one_task_cells: int = 2_000_000,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Spearman correlation per day (and further keys), ties ranked by their average.
 
-    Works on distinct (score, label) cells with counts, stored once. Up to
-    ``one_task_cells`` of them a day is ranked by a plain window; beyond that no
-    day is assumed to fit one task and ranking is spread over value buckets.
+    Works on distinct (score, label) cells with counts, stored once. Both ranks
+    are formed over ``buckets`` value ranges of each day, so a day that holds
+    every row is no burden to one task.
     """
     cells = stored(
         _pairs(preds, keys, score, label)
@@ -53,21 +52,9 @@ def daily_rank_ic(
         .agg(F.count(F.lit(1)).alias("_n")),
         "cells",
     )
-    n_cells = cells.count()
-    if n_cells <= one_task_cells:
-        ranked = cells.withColumns(
-            {
-                "_rs": tied_rank("_day", "_s", "_n"),
-                "_ry": tied_rank("_day", "_y", "_n"),
-                "group_size": F.sum("_n").over(Window.partitionBy("_day")),
-            }
-        )
-    else:
-        # Enough buckets that even a day holding every cell leaves each task its share.
-        buckets = min(MAX_BUCKETS, 2 + 2 * n_cells // max(1, one_task_cells))
-        rank_s = spread_ranks(cells, "_day", "_s", "_n", buckets).withColumnRenamed("rank", "_rs")
-        rank_y = spread_ranks(cells, "_day", "_y", "_n", buckets).withColumnRenamed("rank", "_ry").drop("group_size")
-        ranked = cells.join(rank_s, ["_day", "_s"]).join(rank_y, ["_day", "_y"])
+    rank_s = spread_ranks(cells, "_day", "_s", "_n", buckets).withColumnRenamed("rank", "_rs")
+    rank_y = spread_ranks(cells, "_day", "_y", "_n", buckets).withColumnRenamed("rank", "_ry").drop("group_size")
+    ranked = cells.join(rank_s, ["_day", "_s"]).join(rank_y, ["_day", "_y"])
     # Ranks of N names average (N + 1) / 2, so centred sums need no second pass.
     middle = (F.col("group_size") + 1) / 2.0
     a, b, n = F.col("_rs") - middle, F.col("_ry") - middle, F.col("_n")

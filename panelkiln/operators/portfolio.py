@@ -85,11 +85,13 @@ def target_positions(rows: DataFrame, days: DataFrame, rules: PortfolioRules) ->
     long_size = F.least(F.lit(1.0) / n_long, cap)
     short_size = F.when(n_short > 0, F.least(ratio(F.lit(1.0), n_short.cast("double")), cap)).otherwise(0.0)
     gross = n_long * long_size + n_short * short_size
-    longs = longs.withColumn("weight", long_size / gross)
+    # With a cap of 0 all weights are 0 and there is nothing to scale.
+    scale = F.when(gross > 0, gross).otherwise(1.0)
+    longs = longs.withColumn("weight", long_size / scale)
     shorts = (
         top_rows(chosen, "date", worst_first, rules.topn, salt)
         .filter(F.col("rn") <= n_short)
-        .withColumn("weight", -short_size / gross)
+        .withColumn("weight", -short_size / scale)
     )
     return longs.unionByName(shorts).drop("rn", "names")
 

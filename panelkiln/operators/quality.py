@@ -115,14 +115,22 @@ def symbol_profile(prices: DataFrame, *, streak: int = 5, jump: float = 0.2) ->
 
     A run of L idle rows holds L - streak + 1 idle stretches, and a quote with an
     active row starts a new run with its idle rows. After the quotes are formed,
-    everything happens inside one partitioning by symbol.
+    everything happens inside one partitioning by symbol. Rows without a symbol are one
+    group of counts (symbol NULL): they have no order to run in, so no idle
+    stretches and no jumps, and pass no window.
     """
     w = _quote_order()
     new_day = F.row_number().over(w).eqNullSafe(1) | ~F.col("date").eqNullSafe(F.lag("date").over(w))
     jumped = truthy(F.col("close_move") > jump).cast("long")
+    named = quote_returns(prices.filter(F.col("symbol").isNotNull()))
+    nameless = quotes(prices.filter(F.col("symbol").isNull())).groupBy("date").agg(F.sum("n").alias("n"))
+    nameless = nameless.agg(
+        F.sum("n").alias("rows"),
+        F.sum(F.when(F.col("date").isNotNull(), F.col("n")).otherwise(0)).alias("obs"),
+        F.count(F.lit(1)).alias("days"),
+    ).filter("rows > 0")
     runs = (
-        quote_returns(prices)
-        .withColumns({"run": F.count_if(F.col("n") > F.col("n_idle")).over(w), "new_day": new_day})
+        named.withColumns({"run": F.count_if(F.col("n") > F.col("n_idle")).over(w), "new_day": new_day})
         .groupBy("symbol", "run")
         .agg(
             F.sum("n").alias("rows"),
@@ -134,7 +142,10 @@ def symbol_profile(prices: DataFrame, *, streak: int = 5, jump: float = 0.2) ->
     )
     stretches = F.greatest(F.col("idle") - F.lit(streak - 1), F.lit(0))
     sums = [F.sum(c).alias(c) for c in ("rows", "obs", "days", "jumps")]
-    return runs.groupBy("symbol").agg(*sums, F.sum(stretches).alias("idle_stretches"))
+    per_symbol = runs.groupBy("symbol").agg(*sums, F.sum(stretches).alias("idle_stretches"))
+    none = [F.lit(0).cast("long").alias(c) for c in ("jumps", "idle_stretches")]
+    without = nameless.select(F.lit(None).cast(prices.schema["symbol"].dataType).alias("symbol"), "rows", "obs", "days", *none)
+    return per_symbol.unionByName(without)
 
 
 def idle_streaks(prices: DataFrame, length: int) -> DataFrame:
@@ -213,7 +224,7 @@ def adjustment_violations(
         if table is not None:
             days = action_days(table).withColumn(name, F.lit(True))
             flags = days if flags is None else flags.unionByName(days, allowMissingColumns=True)
-    moves = quote_returns(prices)
+    moves = quote_returns(prices.filter(F.col("symbol").isNotNull()))
     if flags is None:
         return moves.agg(
             F.lit(0.0).alias("split_adjustment_violation_ratio"),

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
@@ -46,56 +45,51 @@ def attach_daily(panel: DataFrame, daily: DataFrame, on: str, how: str = "left")
     return panel.join(F.broadcast(daily), on, how)
 
 
+#: Parts that ``top_rows`` deals a group to first.
+SALTS = 64
+
+
 def top_rows(
-    df: DataFrame, group: str, order: Sequence[Column], n: int, salt: Column, salts: int | None = None
+    df: DataFrame, group: str, order: Sequence[Column], n: int, salt: Column, salts: int = SALTS
 ) -> DataFrame:
     """The first ``n`` rows of each group, with their position ``rn``.
 
-    A first round ranks within (group, salt), so a hot group is spread over
-    ``salts`` tasks; only its ``n * salts`` survivors meet in the second. For
-    small ``n`` Spark also cuts each input task down to its own first ``n`` rows
-    before the shuffle; for large ``n`` it does not, hence more salts.
+    A group is dealt to ``salts`` parts by a hash of ``salt``. Rounds of merging
+    keep the first ``n`` rows of each part and bring eight parts together, so that
+    no task sees more than eight times ``n`` rows after the first round,
+    whatever ``n`` is and however many rows one group has.
     """
-    salts = salts or (32 if n <= 1000 else 2048)
-    spread = Window.partitionBy(group, "_salt").orderBy(*order)
-    final = Window.partitionBy(group).orderBy(*order)
-    return (
-        df.withColumn("_salt", F.pmod(F.xxhash64(salt), F.lit(salts)))
-        .withColumn("_rn", F.row_number().over(spread))
-        .filter(F.col("_rn") <= n)
-        .withColumn("rn", F.row_number().over(final))
-        .filter(F.col("rn") <= n)
-        .drop("_salt", "_rn")
-    )
+    out = df.withColumn("_part", F.pmod(F.xxhash64(salt), F.lit(salts)))
+    while True:
+        by = Window.partitionBy(group, "_part") if salts > 1 else Window.partitionBy(group)
+        out = out.withColumn("rn", F.row_number().over(by.orderBy(*order))).filter(F.col("rn") <= n)
+        if salts == 1:
+            return out.drop("_part")
+        salts = -(-salts // 8)
+        out = out.withColumn("_part", F.pmod(F.col("_part"), F.lit(salts)))
 
 
-def tied_rank(group: str, value: str, weight: str) -> Column:
-    """Rank of a cell's value in its group, ties averaged, as one window pass.
-
-    ``weight`` says how many rows a cell stands for, so ties are counted, not
-    repeated. A whole group is sorted by one task: see ``spread_ranks``.
-    """
-    upto = F.sum(weight).over(Window.partitionBy(group).orderBy(value))
-    ties = F.sum(weight).over(Window.partitionBy(group, value))
-    return upto - (ties - 1) / 2.0
+#: Parts that the values of a group are ranked in.
+BUCKETS = 64
 
 
-def spread_ranks(cells: DataFrame, group: str, value: str, weight: str, buckets: int) -> DataFrame:
-    """``tied_rank`` for groups too large for one task: (group, value, rank, group_size).
+def spread_ranks(cells: DataFrame, group: str, value: str, weight: str, buckets: int = BUCKETS) -> DataFrame:
+    """Rank of each distinct value in its group, ties averaged: (group, value, rank, group_size).
 
-    Values are cut at quantiles of their distribution over all groups. A
-    (group, bucket) can then hold no more than about 1/buckets of all cells,
-    however skewed the groups are. Ranks inside a bucket are offset by the sizes
-    of the buckets below it, so where the cuts fall changes nothing but balance.
-    ``cells`` is read several times and should be a stored table.
+    ``weight`` says how many rows a cell stands for, so ties are counted, not
+    repeated. Every group's values are cut at its own approximate quantiles, found
+    by an aggregate that combines map-side, so a (group, bucket) holds about
+    1/buckets of the group's distinct values and no task sorts a whole group.
+    Ranks inside a bucket are offset by the sizes of the buckets below it, so
+    where the cuts fall changes nothing but balance.
     """
-    cuts = cells.approxQuantile(value, [i / buckets for i in range(1, buckets)], 0.25 / buckets)
-    splits = sorted({float("-inf"), *cuts, float("inf")})
     values = cells.groupBy(group, value).agg(F.sum(weight).alias("_ties"))
-    if len(splits) > 2:
-        placed = Bucketizer(splits=splits, inputCol=value, outputCol="_bucket").transform(values)
-    else:
-        placed = values.withColumn("_bucket", F.lit(0.0))
+    steps = F.array(*[F.lit(i / max(2, buckets)) for i in range(1, max(2, buckets))])
+    cuts = values.groupBy(group).agg(F.array_distinct(F.percentile_approx(value, steps, 4 * buckets)).alias("_cuts"))
+    # Cuts ascend, so the bucket is the number of cuts below the value.
+    placed = values.join(cuts, group).withColumn(
+        "_bucket", F.aggregate("_cuts", F.lit(0), lambda n, c: n + F.when(c < F.col(value), 1).otherwise(0))
+    ).drop("_cuts")
     below = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy(group, "_bucket")

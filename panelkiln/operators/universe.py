@@ -112,12 +112,19 @@ def membership_days(intervals: DataFrame) -> DataFrame:
     return days.filter(is_business_day(F.col("date"))).withColumn("is_member", F.lit(True))
 
 
-def static_membership(symbols: DataFrame, start: date, end: date) -> DataFrame:
-    """Every listed symbol, a member on every business day of [start, end]."""
-    spans = symbols.select(
+def static_spans(symbols: DataFrame, start: date, end: date) -> DataFrame:
+    """Every listed symbol as one span (symbol, from_date, to_date)."""
+    return symbols.select(
         symbol_name("symbol").alias("symbol"), F.lit(start).alias("from_date"), F.lit(end).alias("to_date")
     ).distinct()
-    return membership_days(spans)
+
+
+def static_membership(symbols: DataFrame, start: date, end: date) -> DataFrame:
+    """Every listed symbol, a member on every business day of [start, end], day by day.
+
+    To filter a panel, ``static_spans`` with ``members_within`` does without the days.
+    """
+    return membership_days(static_spans(symbols, start, end))
 
 
 def members_within(panel: DataFrame, intervals: DataFrame, on: str = "decision_date") -> DataFrame:

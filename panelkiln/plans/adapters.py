@@ -53,12 +53,23 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bars(_lines(table(spark, sf_dir, "lineitem")), LINE_ORDER)
 
 
-_LANDED: dict[tuple[str, str, str], str] = {}
+_LANDED: dict[tuple, str] = {}
+
+
+def _stamp(spark: SparkSession, sf_dir: str) -> tuple:
+    """Sizes and times of the tables' files: what is landed again when the data behind it change."""
+    out = []
+    for name in ("lineitem", "events"):
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        for status in system.listStatus(path):
+            out.append((status.getPath().getName(), status.getLen(), status.getModificationTime()))
+    return tuple(sorted(out))
 
 
 def _landed(spark: SparkSession, sf_dir: str, build: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
     """A price table as stored on disk: landing is a step of its own, done once per session and data folder."""
-    key = (spark.sparkContext.applicationId, sf_dir, build.__name__)
+    key = (spark.sparkContext.applicationId, sf_dir, build.__name__, _stamp(spark, sf_dir))
     if key in _LANDED:
         try:
             return read_table(spark, _LANDED[key])
@@ -87,6 +98,16 @@ def bars_by_flag(spark: SparkSession, sf_dir: str, returned: bool) -> DataFrame:
     return _bars(lines.filter((F.col("l_returnflag") == "R") == F.lit(returned)), LINE_ORDER)
 
 
+def returned_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every returned line as a price row, with its place in the feed as ``arrival``."""
+    u = F.col("u")
+    return _lines(table(spark, sf_dir, "lineitem")).filter("l_returnflag = 'R'").select(
+        "symbol", "date", *[u.alias(c) for c in ("open", "high", "low", "close")],
+        (u * (F.lit(1.0) - F.col("d"))).alias("adj_close"), F.col("q").alias("volume"),
+        F.struct("l_orderkey", "l_linenumber").alias("arrival"),
+    )
+
+
 def line_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line as a price row: keys repeat, as in a raw feed."""
     u = F.col("u")

@@ -9,7 +9,7 @@ from panelkiln.functions.numeric import growth, number
 from panelkiln.operators import earnings as earnings_ops
 from panelkiln.operators import feature_store, labels, news, price_features
 from panelkiln.operators.rows import attach_daily
-from panelkiln.operators.universe import static_membership
+from panelkiln.operators.universe import static_spans
 from panelkiln.plans import adapters as a
 from panelkiln.plans import sql_parts as s
 from panelkiln.plans.registry import counted, query, rounded
@@ -49,9 +49,13 @@ def _price_features(spark, sf_dir):
 def labelled_returns(spark, sf_dir):
     """Lagged returns with the next 5-row return."""
     bars = a.landed_bars(spark, sf_dir)
-    features = price_features.build_price_features(bars, lookbacks=(1, 5, 20))
-    kept = features.select("decision_date", "symbol", "ret_1d", "ret_5d", "ret_20d", "feature_available_date")
-    return rounded(feature_store.merge_labels(kept, labels.build_labels(bars, horizon=5)))
+    features = price_features.build_price_features(bars, lookbacks=(1, 5, 20), label_horizon=5)
+    return rounded(
+        features.select(
+            "decision_date", "symbol", "ret_1d", "ret_5d", "ret_20d", "feature_available_date", "label_date",
+            "future_return_5d", "horizon",
+        )
+    )
 
 
 @query(
@@ -193,8 +197,7 @@ def _members_only(spark, sf_dir):
     bars = a.landed_bars(spark, sf_dir)
     features = price_features.build_price_features(bars, lookbacks=(5,))
     suppliers = a.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("symbol"))
-    membership = static_membership(suppliers, *_days(spark, sf_dir))
-    kept = feature_store.members_only(features, membership)
+    kept = feature_store.members_only(features, static_spans(suppliers, *_days(spark, sf_dir)))
     return rounded(kept.select("decision_date", "symbol", "ret_5d", "feature_available_date"))
 
 
@@ -206,11 +209,9 @@ def _members_only(spark, sf_dir):
 def _labelled_members(spark, sf_dir):
     bars = a.landed_bars(spark, sf_dir)
     suppliers = a.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("symbol"))
-    membership = static_membership(suppliers, *_days(spark, sf_dir))
-    features = price_features.build_price_features(bars, lookbacks=(1,))
-    kept = feature_store.members_only(labels.build_labels(bars, horizon=20), membership)
-    merged = feature_store.merge_labels(features.select("decision_date", "symbol", "ret_1d"), kept.drop("horizon"))
-    return rounded(merged)
+    features = price_features.build_price_features(bars, lookbacks=(1,), label_horizon=20)
+    kept = feature_store.members_only(features, static_spans(suppliers, *_days(spark, sf_dir)))
+    return rounded(kept.select("decision_date", "symbol", "ret_1d", "label_date", "future_return_20d"))
 
 
 # --- news ---------------------------------------------------------------------------------------

@@ -46,17 +46,41 @@ def _scan(spark, sf_dir):
 def _write_and_read(spark, sf_dir):
     path = fresh_folder(spark, "bars")
     write_table(with_month(a.bars(spark, sf_dir)), path, partition_by="month", sort_by=["symbol", "date"])
-    back = read_table(spark, path)
-    return _logs(back).join(back.select("symbol", "date", F.col("month").cast("long").alias("month")), ["symbol", "date"])
+    names = ("open", "high", "low", "close", "adj_close")
+    month = F.col("month").cast("long").alias("month")
+    return rounded(read_table(spark, path).select("symbol", "date", *[F.ln(c).alias(c) for c in names], "volume", month))
 
 
 @query("s04_landing_json", f"WITH {s.BARS} SELECT {ROUNDED} FROM bars")
 def _landing_json(spark, sf_dir):
+    """Half of the prices are written as numbers, half as text."""
     path = fresh_folder(spark, "landing")
-    landing.as_envelopes(a.landed_bars(spark, sf_dir)).write.json(path)
+    bars = a.landed_bars(spark, sf_dir)
+    as_text = [F.col(c).cast("string").alias(c) for c in bars.columns if c not in ("symbol", "date")]
+    landing.as_envelopes(bars.filter("volume > 25")).write.json(path)
+    texts = bars.filter("NOT volume > 25").select("symbol", "date", *as_text)
+    landing.as_envelopes(texts).write.mode("append").json(path)
     return _logs(landing.landed_prices(landing.read_landing(spark, path)))
 
 
+@query(
+    "s04_landing_actions",
+    """SELECT CAST(l_suppkey AS VARCHAR) AS symbol, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS date, l_returnflag AS label,
+      round(l_quantity, 6) AS dividend, round(l_discount, 6) AS "adjDividend", count(*) AS n FROM lineitem GROUP BY ALL""",
+)
+def _landing_actions(spark, sf_dir):
+    """A payload of another kind keeps the vendor's own columns."""
+    path = fresh_folder(spark, "landing")
+    rows = a.table(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").cast("string").alias("symbol"), F.to_date("l_shipdate").alias("date"),
+        F.col("l_returnflag").alias("label"), F.col("l_quantity").alias("dividend"), F.col("l_discount").alias("adjDividend"),
+    )
+    landing.as_envelopes(rows, "dividends").write.json(path)
+    back = landing.landed_rows(landing.read_landing(spark, path))
+    back = back.withColumns({c: F.col(c).cast("double") for c in ("dividend", "adjDividend")})
+    return rounded(back).groupBy("symbol", "date", "label", "dividend", "adjDividend").agg(counted("n"))
+
+
 TWO_HALVES = f"""{s.LINES}, {s.bars_from('kept', 'li', "l_returnflag <> 'R'")}, {s.bars_from('fresh', 'li', "l_returnflag = 'R'")}"""
 
 
@@ -92,6 +116,33 @@ def _new_wins(spark, sf_dir):
     return _logs(store.new_wins(a.bars_by_flag(spark, sf_dir, False), a.bars_by_flag(spark, sf_dir, True)))
 
 
+ARRIVALS = f"""WITH {s.LINES}, {s.bars_from('kept', 'li', "l_returnflag <> 'R'")},
+ranked AS (SELECT symbol, date, u, q, d, row_number() OVER (PARTITION BY symbol, date ORDER BY l_orderkey, l_linenumber) AS first_rn,
+  row_number() OVER (PARTITION BY symbol, date ORDER BY l_orderkey DESC, l_linenumber DESC) AS last_rn FROM li WHERE l_returnflag = 'R')"""
+ARRIVED = "symbol, date, u AS open, u AS high, u AS low, u AS close, u * (1 - d) AS adj_close, q AS volume FROM ranked"
+
+
+@query(
+    "s05_first_arrival_wins",
+    f"""{ARRIVALS}, fresh AS (SELECT {ARRIVED} WHERE first_rn = 1), merged AS (SELECT * FROM kept UNION ALL SELECT * FROM fresh f
+      WHERE NOT EXISTS (SELECT 1 FROM kept k WHERE k.symbol = f.symbol AND k.date = f.date)) SELECT {ROUNDED} FROM merged""",
+)
+def _first_arrival_wins(spark, sf_dir):
+    """S5 on a batch whose keys repeat: the first to arrive stays, whatever its values."""
+    new = a.returned_lines(spark, sf_dir)
+    return _logs(store.existing_wins(a.bars_by_flag(spark, sf_dir, False), new, order=["arrival"]))
+
+
+@query(
+    "s06_last_arrival_wins",
+    f"""{ARRIVALS}, fresh AS (SELECT {ARRIVED} WHERE last_rn = 1), merged AS (SELECT * FROM fresh UNION ALL SELECT * FROM kept k
+      WHERE NOT EXISTS (SELECT 1 FROM fresh f WHERE k.symbol = f.symbol AND k.date = f.date)) SELECT {ROUNDED} FROM merged""",
+)
+def _last_arrival_wins(spark, sf_dir):
+    new = a.returned_lines(spark, sf_dir)
+    return _logs(store.new_wins(a.bars_by_flag(spark, sf_dir, False), new, order=["arrival"]))
+
+
 @query(
     "s06_replace_in_store",
     f"""WITH {TWO_HALVES}, merged AS (SELECT * FROM fresh UNION ALL SELECT * FROM kept k
@@ -170,14 +221,16 @@ def _feed(spark, sf_dir, condition, feed, with_symbol=True):
 @query(
     "s10_news_landing",
     f"""WITH {LANDED_NEWS}, every AS (SELECT *, 0 AS b FROM old UNION ALL SELECT *, 1 FROM stock UNION ALL SELECT *, 2 FROM general)
-    SELECT symbol, CAST(day AS VARCHAR) AS "publishedDate", title, feed, event_id FROM (SELECT *, row_number() OVER (PARTITION BY symbol, day, title ORDER BY b DESC, feed DESC, event_id DESC) AS rn FROM every) WHERE rn = 1""",
+    SELECT symbol, CAST(day AS VARCHAR) AS "publishedDate", title, feed, event_id FROM (SELECT *, row_number() OVER (PARTITION BY symbol, day, title ORDER BY b DESC, -event_id DESC) AS rn FROM every) WHERE rn = 1""",
 )
 def _news_landing(spark, sf_dir):
     existing = _feed(spark, sf_dir, "event_type = 'click'", "old")
     stock = _feed(spark, sf_dir, "event_type <> 'error'", "stock")
     market = _feed(spark, sf_dir, "event_type IN ('error', 'view')", "general", with_symbol=False)
     clipped = news.clip_articles(market, date(2024, 1, 5), date(2024, 1, 20))
-    return news.land_articles(existing, stock, clipped)
+    # Articles arrive by falling id, so that the order of arrival is not that of the values.
+    batches = [df.withColumn("arrival", -F.col("event_id")) for df in (existing, stock, clipped)]
+    return news.land_articles(*batches, order=["arrival"])
 
 
 @query(
@@ -331,11 +384,12 @@ def _price_stream(spark, sf_dir):
     "SELECT user_id, CAST(ts AS DATE) AS day, event_type, 1::BIGINT AS n FROM events GROUP BY 1, 2, 3",
 )
 def _article_stream(spark, sf_dir):
-    """One article per user, day and kind out of a stream with repeats."""
-    path, checkpoint = fresh_folder(spark, "articles"), fresh_folder(spark, "stream")
-    stream = refresh.parquet_stream(spark, sf_dir, "events.parquet").select(
-        F.col("ts").cast("timestamp").alias("event_ts"), "user_id", F.to_date("ts").alias("day"), "event_type"
+    """One article per user, day and kind out of a stream with repeats, the newest files first, one a batch."""
+    landing_path, path, checkpoint = (fresh_folder(spark, name) for name in ("feed", "articles", "stream"))
+    a.table(spark, sf_dir, "events").repartitionByRange(4, F.desc("ts")).write.parquet(landing_path)
+    stream = refresh.parquet_stream(spark, landing_path, files_per_batch=1).select(
+        "user_id", F.to_date("ts").alias("day"), "event_type"
     )
-    distinct = refresh.distinct_articles(stream, ["user_id", "day", "event_type"])
-    refresh.land_stream(distinct, path, checkpoint).awaitTermination()
+    keys = ["user_id", "day", "event_type"]
+    refresh.land_stream(stream, path, checkpoint, keys, day="day").awaitTermination()
     return read_table(spark, path).groupBy("user_id", "day", "event_type").agg(counted("n"))

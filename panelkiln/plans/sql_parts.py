@@ -78,10 +78,6 @@ def bday(day: str, n: int) -> str:
     return f"CAST([x FOR x IN {walk} IF isodow(x) < 6][{n}] AS DATE)"
 
 
-# Monday to Friday membership of every symbol with bars.
-MEMBERS = """members AS (
-  SELECT date AS decision_date, symbol FROM bars WHERE isodow(date) < 6)"""
-
 PREDICTIONS = f"""{BARS}, {features([5])}, {labels(1)},
 preds AS (
   SELECT decision_date, symbol, -ret_5d AS y_pred, ln(1 + future_return_1d) / 100 AS y_true, adv20_dollar, vol_20d

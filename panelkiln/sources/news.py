@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -35,13 +36,17 @@ def clip_articles(news: DataFrame, start: date | None, end: date | None) -> Data
     return dated.drop("_day")
 
 
-def land_articles(existing: DataFrame, *batches: DataFrame) -> DataFrame:
-    """All articles once; of copies with the same key columns the one from the latest batch stays."""
+def land_articles(existing: DataFrame, *batches: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    """All articles once; of copies with the same key columns the last of the latest batch stays.
+
+    ``order`` names columns that tell in which order a batch's articles arrived;
+    they are not kept. Without it, or where it ties, the greatest values come last.
+    """
     tables = [df.withColumn("_batch", F.lit(i)) for i, df in enumerate((existing, *batches))]
     articles = stack(*tables)
     keys = [c for c in ARTICLE_KEY if c in articles.columns]
-    rest = [F.col(c) for c in articles.columns if c not in keys and c != "_batch"]
-    return keep_last(articles, keys, [F.col("_batch"), *rest]).drop("_batch")
+    rest = [F.col(c) for c in articles.columns if c not in keys and c not in order and c != "_batch"]
+    return keep_last(articles, keys, [F.col("_batch"), *map(F.col, order), *rest]).drop("_batch", *order)
 
 
 def page_markers(articles: DataFrame, page: str = "page", position: str = "position") -> DataFrame:

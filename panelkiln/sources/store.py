@@ -16,23 +16,28 @@ from panelkiln.sources.tables import optional_table, with_month, write_table
 KEY = ("date", "symbol")
 
 
-def _all(df: DataFrame) -> list[Column]:
-    return [F.col(c) for c in df.columns]
+def _ranks(df: DataFrame, order: Sequence[str]) -> list[Column]:
+    """Arrival first; rows that arrived together are told apart by their values."""
+    return [F.col(c) for c in [*order, *(c for c in df.columns if c not in order)]]
 
 
-def existing_wins(existing: DataFrame, new: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
-    """Existing rows, plus new rows under keys not yet there.
+def existing_wins(
+    existing: DataFrame, new: DataFrame, keys: Sequence[str] = KEY, order: Sequence[str] = ()
+) -> DataFrame:
+    """Existing rows, plus the first new row under each key not yet there.
 
-    ``existing`` is keyed, so it is neither sorted nor regrouped; only its keys
-    are looked at.
+    ``order`` names columns of ``new`` that tell in which order its rows arrived
+    (file time, position); they are not kept. Without it, or where it ties, the
+    least values come first. ``existing`` is keyed, so it is neither sorted nor
+    regrouped; only its keys are looked at.
     """
-    fresh = keep_first(new, list(keys), _all(new))
+    fresh = keep_first(new, list(keys), _ranks(new, order)).drop(*order)
     return stack(existing, fresh.join(existing.select(*keys), list(keys), "left_anti"))
 
 
-def new_wins(existing: DataFrame, new: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
-    """New rows, plus existing rows under keys that are not replaced."""
-    latest = keep_last(new, list(keys), _all(new))
+def new_wins(existing: DataFrame, new: DataFrame, keys: Sequence[str] = KEY, order: Sequence[str] = ()) -> DataFrame:
+    """The last new row of each key, plus existing rows under keys that are not replaced; ``order`` as in ``existing_wins``."""
+    latest = keep_last(new, list(keys), _ranks(new, order)).drop(*order)
     return stack(existing.join(latest.select(*keys), list(keys), "left_anti"), latest)
 
 
@@ -70,8 +75,8 @@ def dataset_fingerprint(rows: DataFrame, spec: str, symbol: str = "symbol") -> D
     )
 
 
-def append_new_prices(spark: SparkSession, path: str, new: DataFrame) -> None:
-    """Add rows with unknown keys to a month-partitioned price table.
+def append_new_prices(spark: SparkSession, path: str, new: DataFrame, order: Sequence[str] = ()) -> None:
+    """Add rows with unknown keys to a month-partitioned price table, the first of each by ``order``.
 
     Only months the new rows fall in are read, and nothing stored is rewritten.
     Running it again with the same rows adds none, so a retried batch is safe.
@@ -79,16 +84,16 @@ def append_new_prices(spark: SparkSession, path: str, new: DataFrame) -> None:
     span = new.agg(F.min("date").alias("a"), F.max("date").alias("b")).first()
     if span["a"] is None:
         return
-    schema = with_month(new).schema
+    schema = with_month(new.drop(*order)).schema
     months = [int(d.strftime("%Y%m")) for d in (span["a"], span["b"])]
     known = optional_table(spark, path, schema).filter(F.col("month").between(*months)).select(*KEY)
-    fresh = keep_first(new, list(KEY), _all(new)).join(known, list(KEY), "left_anti")
+    fresh = keep_first(new, list(KEY), _ranks(new, order)).drop(*order).join(known, list(KEY), "left_anti")
     write_table(with_month(fresh), path, partition_by="month", sort_by=["symbol", "date"], mode="append")
 
 
-def replace_months(spark: SparkSession, path: str, new: DataFrame) -> None:
-    """Merge rows into a month-partitioned table; new rows win, untouched months stay as they are."""
-    latest = with_month(keep_last(new, list(KEY), _all(new)))
+def replace_months(spark: SparkSession, path: str, new: DataFrame, order: Sequence[str] = ()) -> None:
+    """Merge rows into a month-partitioned table; the last new rows win, untouched months stay as they are."""
+    latest = with_month(keep_last(new, list(KEY), _ranks(new, order)).drop(*order))
     months = latest.select("month").distinct()
     existing = optional_table(spark, path, latest.schema).join(F.broadcast(months), "month", "left_semi")
     staged = fresh_folder(spark, "merge")

@@ -47,12 +47,21 @@ def test_daily_ic(spark):
     compare(metrics.daily_ic(spark.createDataFrame(rows, SCHEMA)), expected(rows, "pearson"))
 
 
-def test_rank_ic_plain_and_spread_agree(spark):
+def test_rank_ic_in_one_range_and_in_many_agree(spark):
     rows = predictions()
     df = spark.createDataFrame(rows, SCHEMA)
     want = expected(rows, "spearman")
     compare(metrics.daily_rank_ic(df), want)
-    compare(metrics.daily_rank_ic(df, one_task_cells=0), want)
+    compare(metrics.daily_rank_ic(df, buckets=1), want)
+    compare(metrics.daily_rank_ic(df, buckets=3), want)
+
+
+def test_one_day_with_all_rows_is_split(spark):
+    df = spark.range(5000).select(F.lit("d").alias("g"), F.col("id").cast("double").alias("v"), F.lit(1).alias("w"))
+    ranked = row_ops.spread_ranks(df, "g", "v", "w", buckets=10)
+    assert sorted(r["rank"] for r in ranked.collect()) == [float(i + 1) for i in range(5000)]
+    top = row_ops.top_rows(df, "g", [F.col("v").desc()], 700, F.col("v"))
+    assert sorted(r["v"] for r in top.collect()) == [float(i) for i in range(4300, 5000)]
 
 
 def test_spread_ranks_split_a_hot_group(spark):

@@ -57,7 +57,7 @@ def test_missing_adjusted_prices_fail(spark):
 def test_streaks_and_jumps_equal_a_row_scan_with_copies(spark):
     rng = random.Random(3)
     rows = []
-    for symbol in "ABCD":
+    for symbol in [*"ABCD", None]:
         for day in weekdays("2024-01-01", 30):
             for _ in range(rng.choice([1, 1, 2, 5])):
                 close = rng.choice([None, 0.0, 10.0, 11.0, 14.0])

@@ -97,6 +97,16 @@ def test_trees_beat_the_mean_and_survive_saving(spark, fitted):
     assert a.agg(F.sum("y_pred")).first() == b.agg(F.sum("y_pred")).first()
 
 
+def test_small_targets_get_more_than_one_tree_and_the_best_is_kept(fitted):
+    _, _, rows = fitted
+    small = rows.withColumn("y_true", F.col("y_true") / 100).cache()
+    model = models.fit_boosted_trees(small, ["x"], params={"maxIter": 12, "maxDepth": 3, "stepSize": 0.3}, patience=3, first=4)
+    assert model.stages[-1].getNumTrees > 1
+    noise = small.withColumn("y_true", F.when(F.col("is_val"), -F.col("y_true")).otherwise(F.col("y_true"))).cache()
+    model = models.fit_boosted_trees(noise, ["x"], params={"maxIter": 12, "maxDepth": 3}, patience=3, first=4)
+    assert model.stages[-1].getNumTrees == 1
+
+
 def test_linear_fit_recovers_the_line(fitted):
     panel, fold, rows = fitted
     model = models.fit_linear(rows, ["x"])
