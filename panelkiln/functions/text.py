@@ -10,7 +10,7 @@ from panelkiln.functions.numeric import ratio
 
 # The default sentiment lexicon.
 POSITIVE_WORDS = (
-    "beat", "beats", "bullish", "buy", "gain", "gains", "growth", "improve", "improved", "improves",
+    "beat", "beats", "bullish", "buy", "growth", "gain", "gains", "improve", "improves", "improved",
     "optimistic", "outperform", "strong", "upgrade", "upside",
 )
 NEGATIVE_WORDS = (
@@ -19,7 +19,7 @@ NEGATIVE_WORDS = (
 )
 
 # Symbols that stand for "no single company", and the ticker formats.
-PLACEHOLDER_SYMBOLS = ("ALL", "GENERAL", "GLOBAL", "MARKET")
+PLACEHOLDER_SYMBOLS = ("GENERAL", "MARKET", "ALL", "GLOBAL")
 MARKET_SYMBOL = "GENERAL"
 WORD_PATTERN = "[a-z']+"
 TICKER_SEPARATORS = r"[,;\s|]+"

@@ -12,6 +12,8 @@ from panelkiln.operators.folds import fold_order, in_part
 
 MIN_PAIRS = 50
 
+# The messages of the audits below are fixed values.
+
 
 def label_audit(labels: DataFrame) -> DataFrame:
     """One row (ok, bad_rows, message): every label lies after its decision."""

@@ -18,13 +18,13 @@ def by_symbol(df, **options):
 
 def test_ticker_list_reaches_each_symbol(spark):
     df = spark.createDataFrame(
-        [("2024-03-01", "NASDAQ:BBB,NYSE:CCC", "strong growth", None, "x")],
+        [("2024-03-01", "XETRA:KLM | OTC:PQR-A", "strong growth", None, "x")],
         "date string, tickers string, title string, content string, site string",
     )
     got = by_symbol(df)
     # Friday news acts on Monday.
-    assert set(got) == {("BBB", D(2024, 3, 4)), ("CCC", D(2024, 3, 4))}
-    assert got["BBB", D(2024, 3, 4)]["news_sent_mean_1d"] == 1.0
+    assert set(got) == {("KLM", D(2024, 3, 4)), ("PQR-A", D(2024, 3, 4))}
+    assert got["KLM", D(2024, 3, 4)]["news_sent_mean_1d"] == 1.0
 
 
 def test_market_news_without_symbols(spark):
