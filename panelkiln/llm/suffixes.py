@@ -32,6 +32,9 @@ GRAM = 64
 GATHER = 2 << 20
 _PLACE = 24  # bits for a place among them
 
+#: Tasks that match suffixes, for each shuffle partition: they hold their suffixes' bytes and marks.
+FINER = 4
+
 _ANCHORS, _KNOWN, _SUFFIXES, _RUNS = range(4)
 
 _TABLE = np.random.default_rng(200).integers(1 << 63, size=256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -181,7 +184,7 @@ def _meet_anchors(blobs: list[bytes], parts: int) -> Iterator[tuple[int, int, by
     yield from _by_document(ids[found], tags[found], [at[found]], _KNOWN, parts)
 
 
-def _send_suffixes(segments: Segments, wanted: dict[tuple[int, int], np.ndarray], parts: int) -> Iterator[tuple[int, int, bytes]]:
+def _send_suffixes(segments: Segments, wanted: dict[tuple[int, int], np.ndarray], finer: int, parts: int) -> Iterator[tuple[int, int, bytes]]:
     """The bytes under the runs of starts whose anchors are repeated; one of all equal ones in sight."""
     if not segments.texts:
         return
@@ -218,7 +221,7 @@ def _send_suffixes(segments: Segments, wanted: dict[tuple[int, int], np.ndarray]
     head = np.array(head)
     settled = np.fromiter((i in repeated for i in head.tolist()), np.uint8, len(head))
     who, first = keys[segment[head]], start[head] + shift[segment[head]]
-    for part, where in packed.dealt(packed.spread(hashes[head], parts)):
+    for part, where in packed.dealt(packed.spread(hashes[head], finer)):
         # Sorted, like bytes stand together and compress.
         own = sorted(where.tolist(), key=lambda j: texts[j][int(lead[head[j]]) :])
         body = np.frombuffer(b"".join(texts[j] for j in own), np.uint8)
@@ -283,20 +286,20 @@ def _meet_suffixes(blobs: list[bytes], length: int, parts: int) -> Iterator[tupl
     for blob in blobs:
         ids, tags, first, count, settled, body = packed.unpack(blob)
         widths = count.astype(np.int64) + length - 1
-        begin = np.cumsum(widths) - widths
-        inner = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-        at = np.repeat(begin, count) + inner
-        pairs.append(family.add(rolling(body, length)[at], at + size))
-        tables.append([ids, tags, first, count, settled, body, begin + size])
+        begin = (np.cumsum(widths) - widths).astype(np.int32)
+        at = np.arange(int(count.sum()), dtype=np.int32) + np.repeat(begin - (np.cumsum(count) - count).astype(np.int32), count)
+        pairs.append(family.add(rolling(body, length)[at], at + np.int32(size)))
+        tables.append([ids, tags, first, count, settled, body, begin + np.int32(size)])
         size += len(body)
-    del family
+    del family, at
     ids, tags, first, count, settled, body, begin = packed.joined(tables, 7)
+    del tables
     ones, others = _verified(body, *(np.concatenate(x) for x in zip(*pairs)), length)
     hit = np.zeros(size, bool)
     hit[ones], hit[others] = True, True
-    count = count.astype(np.int64)
-    inner = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-    owner = np.repeat(np.arange(len(count)), count)
+    del pairs, ones, others, body
+    inner = np.arange(int(count.sum()), dtype=np.int32) - np.repeat((np.cumsum(count) - count).astype(np.int32), count)
+    owner = np.repeat(np.arange(len(count), dtype=np.int32), count)
     found = np.flatnonzero(hit[begin[owner] + inner] & (settled[owner] == 0))
     owner, inner = owner[found], inner[found]
     new = np.ones(len(owner), bool)
@@ -390,19 +393,19 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     wanted[i, tag] = packed.unpack(data)[0]
                     held.add((i, tag), text.as_py() or b"")
                     if held.size >= GATHER:
-                        yield from _send_suffixes(held, wanted, parts)
+                        yield from _send_suffixes(held, wanted, FINER * parts, parts)
                         held, wanted = Segments(length), {}
-            yield from _send_suffixes(held, wanted, parts)
+            yield from _send_suffixes(held, wanted, FINER * parts, parts)
 
         return packed.rows(found())
 
-    def dealt(frame: DataFrame) -> DataFrame:
-        return frame.repartitionById(parts, F.col("part"))
+    def dealt(frame: DataFrame, n: int = parts) -> DataFrame:
+        return frame.repartitionById(n, F.col("part"))
 
     anchors = dealt(rows.select("k_id", "k_tag", "text").mapInArrow(send_anchors, packed.SCHEMA))
     known = dealt(anchors.mapInArrow(meet(_ANCHORS, lambda here: _meet_anchors(here, parts)), packed.SCHEMA))
     known = known.mapInArrow(per_document(3), _ASKED)
-    suffixes = dealt(with_text(known).mapInArrow(send_suffixes, packed.SCHEMA))
+    suffixes = dealt(with_text(known).mapInArrow(send_suffixes, packed.SCHEMA), FINER * parts)
     runs = dealt(suffixes.mapInArrow(meet(_SUFFIXES, lambda here: _meet_suffixes(here, length, parts)), packed.SCHEMA))
     runs = runs.mapInArrow(per_document(4), _ASKED)
 
