@@ -119,6 +119,11 @@ class Segments:
         return data, segment[first], at[first], starts[first], count, hashes[at[first]]
 
 
+def _route(hashes: np.ndarray, parts: int) -> np.ndarray:
+    """Part of each anchor. Anchors are least hashes, so their upper bits are small and have to be mixed again."""
+    return packed.spread(packed.mixed(hashes * np.uint64(_BASE)), parts)
+
+
 def _by_document(ids: np.ndarray, tags: np.ndarray, columns: list[np.ndarray], kind: int, parts: int) -> Iterator[tuple[int, int, bytes]]:
     order = np.lexsort((columns[0], tags, ids))
     ids, tags, columns = ids[order], tags[order], [c[order] for c in columns]
@@ -157,7 +162,7 @@ def _send_anchors(segments: Segments, parts: int) -> Iterator[tuple[int, int, by
     known = order[again]
     yield from _by_document(ids[known], tags[known], [at[known]], _KNOWN, parts)
     heads, known = order[first], again[first].astype(np.uint8)
-    for part, where in packed.dealt(packed.spread(hashes[heads], parts)):
+    for part, where in packed.dealt(_route(hashes[heads], parts)):
         own = heads[where]
         by = np.argsort(own)
         own, flags = own[by], known[where][by]
@@ -221,7 +226,7 @@ def _send_suffixes(segments: Segments, wanted: dict[tuple[int, int], np.ndarray]
     head = np.array(head)
     settled = np.fromiter((i in repeated for i in head.tolist()), np.uint8, len(head))
     who, first = keys[segment[head]], start[head] + shift[segment[head]]
-    for part, where in packed.dealt(packed.spread(hashes[head], finer)):
+    for part, where in packed.dealt(_route(hashes[head], finer)):
         # Sorted, like bytes stand together and compress.
         own = sorted(where.tolist(), key=lambda j: texts[j][int(lead[head[j]]) :])
         body = np.frombuffer(b"".join(texts[j] for j in own), np.uint8)
