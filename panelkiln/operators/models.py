@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass, field
+from datetime import date
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
@@ -10,8 +12,11 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, functions as F
 
 from panelkiln.functions.numeric import all_finite, all_present
+from panelkiln.operators import folds, portfolio
 from panelkiln.operators.folds import tag_parts
-from panelkiln.operators.metrics import mean_squared_error
+from panelkiln.operators.metrics import evaluate_predictions, mean_squared_error
+from panelkiln.operators.sweep import candidate_score, run_gate
+from panelkiln.session import stored
 
 KEY = ["decision_date", "symbol"]
 COST_COLUMNS = ("adv20_dollar", "vol_20d")
@@ -142,3 +147,65 @@ def sweep(
     if results is None:
         raise ValueError("no candidates")
     return results
+
+
+@dataclass(frozen=True)
+class Candidate:
+    """Settings to try: learner parameters, and the features (such as a set of lookbacks) to use."""
+
+    name: str
+    features: Sequence[str]
+    params: Mapping = field(default_factory=dict)
+
+
+def candidate_runs(
+    panel: DataFrame,
+    target: str,
+    candidates: Sequence[Candidate],
+    end_dates: Sequence[date],
+    *,
+    fold_sizes: Mapping[str, int],
+    purge: int = 0,
+    embargo: int = 0,
+    rules: portfolio.PortfolioRules = portfolio.PortfolioRules(),
+    limits: Mapping[str, float | None] | None = None,
+    seed: int = 42,
+    patience: int = PATIENCE,
+    first: int = FIRST,
+) -> DataFrame:
+    """One row per (end_date, name): test rows, rank IC, IC, portfolio figures, score and gate.
+
+    Each candidate is trained and scored on the last fold that ends by each end
+    date, as if later rows did not exist yet. ``panel`` (features and target) is
+    read often and should be a stored table. The rows feed ``sweep.best_reruns``,
+    ``summarize_runs``, ``best_candidate`` and ``best_run``. The loop runs
+    over settings, not data. A period with too few days gives an error.
+    """
+    runs = None
+    for end in end_dates:
+        known = panel.filter(F.col("decision_date") <= F.lit(end))
+        cut = folds.purge_and_embargo(
+            folds.walk_forward(folds.trading_days(known), **fold_sizes),
+            train=fold_sizes["train"], val=fold_sizes["val"], purge=purge, embargo=embargo,
+        )
+        fold = stored(folds.last_fold(cut), "fold")
+        if fold.isEmpty():
+            raise ValueError(f"not enough days for a fold by {end}")
+        for c in candidates:
+            rows = stored(training_rows(known, fold, c.features, target), "training")
+            model = fit_boosted_trees(rows, c.features, params=c.params, seed=seed, patience=patience, first=first)
+            test = stored(score(model, known, fold, c.features, target, c.name).filter("split = 'test'"), "scores")
+            daily, _ = portfolio.run_portfolio(test, rules)
+            quality = evaluate_predictions(test).groupBy("model_name").agg(
+                F.max(F.when(F.col("kind") == "rank_ic", F.col("mean"))).alias("rank_ic"),
+                F.max(F.when(F.col("kind") == "ic", F.col("mean"))).alias("ic_test_mean"),
+            )
+            counted = test.groupBy("model_name").agg(F.count(F.lit(1)).alias("test_rows"))
+            figures = portfolio.portfolio_summary(daily).withColumn("model_name", F.lit(c.name))
+            row = counted.join(quality, "model_name", "left").join(figures, "model_name", "left")
+            row = row.withColumnRenamed("model_name", "name").withColumn("end_date", F.lit(end))
+            runs = row if runs is None else runs.unionByName(row)
+    if runs is None:
+        raise ValueError("no candidates or no end dates")
+    gated = run_gate(runs.withColumn("score", candidate_score()), **({} if limits is None else {"limits": limits}))
+    return gated.withColumns({"ops_gate_ok": F.col("gate_ok"), "rank_ic_test_mean": F.col("rank_ic")})

@@ -7,7 +7,8 @@ from day to day.
 
 from __future__ import annotations
 
-from datetime import date
+from dataclasses import dataclass
+from datetime import UTC, date, datetime, timedelta
 
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -104,6 +105,68 @@ def membership_intervals(current: DataFrame, events: DataFrame, start: date, end
     )
 
 
+@dataclass(frozen=True)
+class Universe:
+    """Membership spans, and how they were come by."""
+
+    spans: DataFrame
+    provider: str
+    end: date
+    end_truncated: bool
+    fallback_reason: str = ""
+
+
+def point_in_time(current: DataFrame, events: DataFrame, start: date, end: date, today: date | None = None) -> Universe:
+    """Replayed membership up to ``end`` or today, whichever is earlier.
+
+    An empty list of current members, a range without business days and a
+    range without members are errors.
+    """
+    today = today or datetime.now(UTC).date()
+    last = min(end, today)
+    days = (start + timedelta(n) for n in range(min(7, (last - start).days + 1)))
+    if not any(d.weekday() < 5 for d in days):
+        raise ValueError("no business days in the requested range")
+    if current.filter(symbol_name("symbol").isNotNull()).isEmpty():
+        raise ValueError("no current members")
+    spans = membership_intervals(current, events, start, last)
+    if spans.isEmpty():
+        raise ValueError("no members in the requested range")
+    return Universe(spans, "point_in_time", last, last < end)
+
+
+def resolve_universe(
+    start: date,
+    end: date,
+    *,
+    custom: DataFrame | None = None,
+    current: DataFrame | None = None,
+    events: DataFrame | None = None,
+    fallback: DataFrame | None = None,
+    today: date | None = None,
+) -> Universe:
+    """The custom list if given, else the replayed index, else the fallback list; says which.
+
+    Without a fallback list, what is wrong with the replay is the error.
+    """
+    if custom is not None:
+        if custom.isEmpty():
+            raise ValueError("the custom list has no symbols")
+        return Universe(static_spans(custom, start, end), "custom_list", end, False)
+    today = today or datetime.now(UTC).date()
+    try:
+        if current is None or events is None:
+            raise ValueError("no index tables")
+        return point_in_time(current, events, start, end, today)
+    except ValueError as error:
+        if fallback is None:
+            raise
+        if fallback.isEmpty():
+            raise ValueError("the fallback list has no symbols") from error
+        # The list holds up to the end that was asked for, as no replay bounds it.
+        return Universe(static_spans(fallback, start, end), "fallback", min(end, today), end > today, str(error))
+
+
 def membership_days(intervals: DataFrame) -> DataFrame:
     """Intervals spelled out as (date, symbol, is_member) rows on business days."""
     every_day = F.explode(F.sequence("from_date", "to_date"))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import date
+from functools import reduce
+
 from pyspark.sql import functions as F
 
-from panelkiln.operators import folds, metrics, models
+from panelkiln.operators import folds, metrics, models, portfolio
 from panelkiln.plans import sql_parts as s
-from panelkiln.plans.portfolio_queries import LAST_FOLD_SQL, merged_panel, purged_folds
+from panelkiln.plans.portfolio_queries import LAST_FOLD_SQL, SIZES, merged_panel, purged_folds
 from panelkiln.plans.registry import query, rounded
 from panelkiln.session import fresh_folder, stored
 
@@ -88,9 +91,31 @@ def _saved_model_scores(spark, sf_dir):
     return rounded(both.groupBy("model_name", "split").agg(F.count("y_pred").alias("n"), difference))
 
 
-@query("m05_candidate_sweep")
+END_DATES = (date(1998, 6, 30), date(2000, 12, 31))
+CANDIDATES = [
+    models.Candidate("one_day", ("ret_1d", "vol_20d"), {"maxIter": 4, "maxDepth": 2}),
+    models.Candidate("five_days", ("ret_1d", "ret_5d", "vol_20d"), {"maxIter": 4, "maxDepth": 3}),
+]
+
+
+@query(
+    "m05_candidate_sweep",
+    f"""WITH {s.BARS}, {s.features([1, 5])}, {s.labels(5)},
+    panel AS (SELECT * FROM feats JOIN labels_h USING (decision_date, symbol)),
+    ends AS (SELECT unnest([{", ".join(f"DATE '{d}'" for d in END_DATES)}]) AS end_date),
+    days AS (SELECT end_date, decision_date, row_number() OVER (PARTITION BY end_date ORDER BY decision_date) - 1 AS pos, count(*) OVER (PARTITION BY end_date) AS n
+      FROM (SELECT DISTINCT end_date, decision_date FROM panel, ends WHERE decision_date <= end_date)),
+    test AS (SELECT end_date, decision_date FROM days WHERE pos - (n - 756) // 63 * 63 BETWEEN 635 AND 755),
+    rows AS (SELECT * FROM panel JOIN test USING (decision_date) WHERE ret_1d IS NOT NULL AND vol_20d IS NOT NULL)
+    SELECT end_date, 'one_day' AS name, count(*) AS test_rows, true AS has_figures FROM rows GROUP BY end_date
+    UNION ALL SELECT end_date, 'five_days', count(*), true FROM rows WHERE ret_5d IS NOT NULL GROUP BY end_date""",
+)
 def _candidate_sweep(spark, sf_dir):
-    panel, fold = model_panel(spark, sf_dir), _last_fold(spark, sf_dir)
-    rows = stored(models.training_rows(panel, fold, FEATURES, TARGET), "training")
-    candidates = [(f"depth_{d}", {"maxIter": 4, "maxDepth": d}) for d in (2, 4)]
-    return rounded(models.sweep(rows, FEATURES, candidates))
+    """M5: candidates x end dates. The figures depend on the learner; that they are there is checked."""
+    panel = model_panel(spark, sf_dir)
+    runs = models.candidate_runs(
+        panel, TARGET, CANDIDATES, END_DATES, fold_sizes={**SIZES, "step": 63}, purge=20, embargo=5,
+        rules=portfolio.PortfolioRules(topn=3, max_names=3), patience=2, first=4,
+    )
+    present = [F.col(c).isNotNull() for c in ("rank_ic", "sharpe", "total_return", "max_drawdown", "score", "gate_ok")]
+    return runs.select("end_date", "name", "test_rows", reduce(lambda x, y: x & y, present).alias("has_figures"))

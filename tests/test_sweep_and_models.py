@@ -107,6 +107,25 @@ def test_small_targets_get_more_than_one_tree_and_the_best_is_kept(fitted):
     assert model.stages[-1].getNumTrees == 1
 
 
+def test_candidates_over_end_dates_feed_the_summary(fitted):
+    panel, _, _ = fitted
+    days = sorted(r[0] for r in panel.select("decision_date").distinct().collect())
+    candidates = [models.Candidate("x", ["x"], {"maxIter": 4, "maxDepth": 2}), models.Candidate("z", ["z"], {"maxIter": 2, "maxDepth": 1})]
+    sizes = {"train": 40, "val": 15, "test": 15, "step": 5}
+    runs = models.candidate_runs(
+        panel, "y", candidates, [days[80], days[99]], fold_sizes=sizes, patience=2, first=4, limits={"min_sharpe": None, "min_total_return": 0.0}
+    ).cache()
+    got = {(r["end_date"], r["name"]): r for r in runs.collect()}
+    assert set(got) == {(d, n) for d in (days[80], days[99]) for n in "xz"}
+    # The outcome is a line in x and has nothing to do with z.
+    for d in (days[80], days[99]):
+        assert got[d, "x"]["test_rows"] == 15 * 20 and got[d, "x"]["rank_ic"] > 0.8 > got[d, "z"]["rank_ic"]
+    summary = sweep.summarize_runs(runs.withColumn("seq", F.monotonically_increasing_id()), "seq")
+    assert sweep.best_candidate(summary).first()["name"] == "x"
+    with pytest.raises(ValueError, match="not enough days"):
+        models.candidate_runs(panel, "y", candidates, [days[5]], fold_sizes=sizes)
+
+
 def test_linear_fit_recovers_the_line(fitted):
     panel, fold, rows = fitted
     model = models.fit_linear(rows, ["x"])

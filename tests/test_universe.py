@@ -2,6 +2,7 @@ import datetime as dt
 import random
 
 import pandas as pd
+import pytest
 
 from panelkiln.operators import universe
 
@@ -67,3 +68,29 @@ def test_static_membership_covers_business_days(spark):
     rows = universe.static_membership(names, dt.date(2024, 3, 1), dt.date(2024, 3, 5)).collect()
     assert {(r["symbol"], r["date"].day) for r in rows} == {(s, d) for s in ("AAA", "B") for d in (1, 4, 5)}
     assert len(rows) == 6 and all(r["is_member"] for r in rows)
+
+
+def test_universe_is_resolved_and_says_how(spark):
+    current = spark.createDataFrame([("aaa",), ("BBB",)], "symbol string")
+    nobody = current.limit(0)
+    raw = spark.createDataFrame([("2024-03-05", "AAA", "CCC", 1)], "date string, added string, removed string, seq int")
+    events = universe.membership_events(raw, "seq")
+    start, end, today = dt.date(2024, 3, 1), dt.date(2024, 3, 29), dt.date(2024, 3, 15)
+    found = universe.resolve_universe(start, end, current=current, events=events, fallback=current, today=today)
+    assert (found.provider, found.end, found.end_truncated, found.fallback_reason) == ("point_in_time", today, True, "")
+    assert {tuple(r) for r in found.spans.collect()} == {
+        ("AAA", dt.date(2024, 3, 5), today), ("BBB", start, today), ("CCC", start, dt.date(2024, 3, 4))
+    }
+    found = universe.resolve_universe(start, end, custom=current, today=today)
+    assert (found.provider, found.spans.count()) == ("custom_list", 2)
+    found = universe.resolve_universe(start, end, current=nobody, events=events, fallback=current, today=today)
+    assert (found.provider, found.end_truncated, found.fallback_reason) == ("fallback", True, "no current members")
+    for arguments, message in (
+        ({"current": nobody, "events": events}, "no current members"),
+        ({"current": nobody, "events": events, "fallback": nobody}, "fallback list has no symbols"),
+        ({"custom": nobody}, "custom list has no symbols"),
+    ):
+        with pytest.raises(ValueError, match=message):
+            universe.resolve_universe(start, end, today=today, **arguments)
+    with pytest.raises(ValueError, match="no business days"):
+        universe.point_in_time(current, events, dt.date(2024, 3, 2), dt.date(2024, 3, 3), today)
