@@ -270,3 +270,19 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     schema = "doc_id long, n_words long, n_removed long, kept_text string, spans array<struct<first: long, stop: long>>"
     return with_text(spans).mapInArrow(cut, schema)
+
+
+#: DuckDB's way to the rows of the query, window by window.
+SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, [x FOR x IN regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+') IF x <> ''] AS w FROM documents),
+windows AS (
+  SELECT r, doc_id, i, array_to_string(w[i:i + {K - 1}], ' ') AS s
+  FROM (SELECT *, unnest(range(1, len(w) - {K - 2})) AS i FROM d WHERE doc_id IS NOT NULL AND len(w) >= {K})),
+firsts AS (SELECT s, min(doc_id) AS first_id FROM windows GROUP BY s),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + {K})) AS j FROM windows JOIN firsts USING (s) WHERE first_id < doc_id),
+words AS (SELECT r, j, w[j] AS word FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS j FROM d)),
+kept AS (SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY j) AS text FROM words ANTI JOIN gone USING (r, j) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""

@@ -158,3 +158,40 @@ def filtered(docs: DataFrame, **limits) -> DataFrame:
             yield pa.RecordBatch.from_arrays(arrays, names)
 
     return rows.mapInArrow(scan, docs.schema)
+
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+_LOWER = "abcdefghijklmnopqrstuvwxyz0000000000"
+
+#: DuckDB's way to the rows of the query, on lines and words themselves.
+SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t, coalesce('t' || text, 'n') AS k,
+         [x FOR x IN regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+') IF x <> ''] AS w FROM documents),
+windows AS (
+  SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS s FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) > 2)),
+covered AS (
+  SELECT r, count(DISTINCT j) AS n FROM (
+    SELECT r, unnest(range(i, i + 3)) AS j FROM (SELECT r, i, count(*) OVER (PARTITION BY r, s) AS c FROM windows) WHERE c > 1) GROUP BY r),
+lines AS (
+  SELECT r, source, k, line,
+         trim(regexp_replace(translate(line, '{_UPPER}', '{_LOWER}'), '[\\x20\\x09-\\x0D]+', ' ', 'g'), ' ') AS s,
+         len([x FOR x IN regexp_split_to_array(line, '[\\x20\\x09-\\x0D]+') IF x <> '']) AS n
+  FROM (SELECT r, source, k, unnest(string_split(t, chr(10))) AS line FROM d)),
+dups AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM lines WHERE n > 0 GROUP BY r),
+hosts AS (SELECT source, count(DISTINCT k) AS texts FROM d GROUP BY source),
+held AS (SELECT source, s, count(DISTINCT k) AS held FROM lines WHERE n > 0 GROUP BY source, s),
+frequent AS (
+  SELECT held.source, s FROM held JOIN hosts ON held.source IS NOT DISTINCT FROM hosts.source WHERE held > {LEAST} AND held > texts * CAST({SHARE} AS DOUBLE)),
+taken AS (
+  SELECT r, sum(n) AS n FROM lines JOIN frequent ON lines.source IS NOT DISTINCT FROM frequent.source AND lines.s = frequent.s GROUP BY r),
+m AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '[\\x20\\x09-\\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(coalesce(dups.n, 0) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(taken.n, 0) AS BIGINT) AS n_line_words
+  FROM d LEFT JOIN dups USING (r) LEFT JOIN covered USING (r) LEFT JOIN taken USING (r)),
+b AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, n_line_words,
+       NOT base_failed AND n_words - n_line_words >= {LEFT} * n_words AS kept
+FROM b
+"""

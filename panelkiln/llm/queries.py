@@ -7,11 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from panelkiln.llm import licenses, mixing, suffixes, warc
-from panelkiln.llm.debruijn import without_repeats
+from panelkiln.llm import debruijn, licenses, mixing, quality, suffixes, warc
 from panelkiln.llm.multiset import edit_study
 from panelkiln.llm.packing import pack
-from panelkiln.llm.quality import judged
 from panelkiln.llm.secrets import secret_spans
 from panelkiln.llm.simhash import near_duplicates
 from panelkiln.session import fresh_folder
@@ -96,17 +94,23 @@ ORACLES["op7_warc"] = warc.SQL
 
 @_query
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judged(_documents(spark, sf_dir)).select(
+    return quality.judged(_documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_line_words", "kept"
     )
 
 
+ORACLES["op5_quality"] = quality.SQL
+
+
 @_query
 def op2_debruijn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = without_repeats(_documents(spark, sf_dir))
+    kept = debruijn.without_repeats(_documents(spark, sf_dir))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+ORACLES["op2_debruijn"] = debruijn.SQL
+
+
 @_query
 def op3_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.without_repeats(_documents(spark, sf_dir)).select(
