@@ -17,7 +17,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from panelkiln.plans import adapters, catalog  # noqa: E402
-from panelkiln.session import fresh_folder, local_session  # noqa: E402
+from panelkiln.session import clear_stored, fresh_folder, local_session  # noqa: E402
 from panelkiln.sources.tables import write_table  # noqa: E402
 
 HEADLINE = (
@@ -76,6 +76,7 @@ def main() -> None:
         "cpus": cpus,
     }
     print(json.dumps(line), flush=True)
+    clear_stored(spark)
     spark.stop()
 
 

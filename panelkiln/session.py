@@ -42,9 +42,26 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+_MADE: list[str] = []
+
+
 def fresh_folder(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+def clear_stored(spark: SparkSession) -> int:
+    """Delete what ``fresh_folder`` and ``stored`` have made in this process, and say how many folders.
+
+    For when their results are no longer read: tables derived from them are gone too.
+    """
+    gone = 0
+    while _MADE:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        gone += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return gone
 
 
 def stored(df: DataFrame, label: str = "stored") -> DataFrame:

@@ -2,8 +2,10 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from panelkiln import session
 from panelkiln.operators.rows import attach_daily, keep_first, keep_last, top_rows
 from panelkiln.session import fresh_folder, shared_folder
 from panelkiln.sources import landing, news, store
@@ -144,6 +146,15 @@ def test_shared_folder_is_one_place(spark):
     assert fresh_folder(spark, "a") != fresh_folder(spark, "a")
 
 
+def test_stored_tables_can_be_cleared(spark, monkeypatch):
+    monkeypatch.setattr(session, "_MADE", [])
+    table = session.stored(spark.range(3))
+    path = table.inputFiles()[0].rsplit("/", 1)[0]
+    assert session.clear_stored(spark) == 1 and session.clear_stored(spark) == 0
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(path)
+
+
 def test_price_stream_resumes_and_equals_the_batch_merge(spark):
     paths = [fresh_folder(spark, n) for n in ("t-landing", "t-store", "t-checkpoint")]
     rows = random_prices(seed=9, symbols=3, nulls=0)
