@@ -21,6 +21,9 @@ SHINGLE = 5
 CONTAINMENT = 0.8
 BANDS = 24
 
+#: Template minima, or shingles, beyond which the join with them is left to shuffle.
+BROADCAST = 100_000
+
 #: Notices as their licenses word them.
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -80,8 +83,9 @@ def _minima(marks: Column) -> Column:
 def scan(docs: DataFrame, templates: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document and license found: doc_id, text_key, license, containment, first_shingle, n_windows.
 
-    ``templates`` has license and text; a license may have several. There are few of them:
-    their minima are read by the driver, ``BANDS`` for each template. Words are
+    ``templates`` has license and text; a license may have several. They are a
+    parameter, not a corpus: their minima, ``BANDS`` for each, are read by the driver, and up to
+    ``BROADCAST`` of them are sent to all tasks. Words are
     runs of letters and digits in any case; shingles are ``SHINGLE`` words, so a template of fewer
     words is only found in a text that has no others. ``containment`` is the
     largest share of a template's distinct shingles in a window, ``CONTAINMENT`` or more;
@@ -101,6 +105,7 @@ def scan(docs: DataFrame, templates: DataFrame | None = None, id_col: str = "doc
     )
     rare = F.transform("minima", lambda m: F.filter("marks", lambda x: F.xxhash64(x, m.band) == m.least)[0])
     known = held.select("size", rare.alias("rare")).collect()
+    small = len(known) * BANDS <= BROADCAST and sum(r["size"] for r in known) <= BROADCAST
     sizes = sorted({r["size"] for r in known})
     minima = sorted({m for r in known for m in r["rare"]})
     if not sizes:
@@ -131,7 +136,7 @@ def scan(docs: DataFrame, templates: DataFrame | None = None, id_col: str = "doc
     bands = bands.select("doc_id", "text_key", "size", "start", "part", "m.band", "m.least")
     wanted = held.select("license", "shingles", "size", F.explode("minima").alias("m"))
     wanted = wanted.select("license", "shingles", "size", "m.band", "m.least")
-    met = bands.join(wanted, ["size", "band", "least"])
+    met = bands.join(F.broadcast(wanted) if small else wanted, ["size", "band", "least"])
     own = _shingles(F.col("part"), _text)
     share = F.size(F.array_intersect(own, F.col("shingles"))) / F.col("size")
     found = met.groupBy("doc_id", "text_key", "size", "start", "license", "shingles").agg(F.first("part").alias("part"))
