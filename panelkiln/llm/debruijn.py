@@ -239,9 +239,10 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     asked = own.union(at_source).groupBy("doc_id", "tag").agg(F.collect_list("one").alias("asked"))
     seen = with_text(asked).mapInArrow(digests, "source_id long, source_tag int, source_start int, n int, digest long")
-    # A path is verified with all walks that compacted into it: their words' digests are one.
-    verified = seen.groupBy(*_PATH).agg(F.min("digest").alias("low"), F.max("digest").alias("high")).where("low = high")
-    sure = found.join(verified.select(*_PATH), _PATH, "left_semi")
+    # A path is verified with all walks that compacted into it: their words' digests are one. As hashes
+    # seldom collide, the paths that fail are few or none, and dealt out anew the join with them is small.
+    failed = seen.groupBy(*_PATH).agg(F.min("digest").alias("low"), F.max("digest").alias("high")).where("low <> high")
+    sure = found.join(failed.select(*_PATH).repartition(*_PATH), _PATH, "left_anti")
     spans = sure.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("start", "n")).alias("asked"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
