@@ -70,7 +70,7 @@ def top_rows(
 
 
 #: Parts that the values of a group are ranked in.
-BUCKETS = 64
+BUCKETS = 32
 
 
 def spread_ranks(cells: DataFrame, group: str, value: str, weight: str, buckets: int = BUCKETS) -> DataFrame:
