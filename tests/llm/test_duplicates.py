@@ -9,7 +9,8 @@ import xxhash
 from helpers_llm import awkward, by_repr, frame, sorted_rows, words
 from pyspark.sql import functions as F
 
-from panelkiln.llm import debruijn, simhash, suffixes
+import corpus_pipeline
+from panelkiln.llm import debruijn, minhash, simhash, suffixes
 from panelkiln.llm.components import components
 
 
@@ -167,3 +168,52 @@ def test_levels_stay_logarithmic_and_miss_no_match():
     hit[np.concatenate(ones)], hit[np.concatenate(others)] = True, True
     values, counts = np.unique(seen, return_counts=True)
     assert (hit == np.isin(seen, values[counts > 1])).all()
+
+
+def brute_likeness(a, b, n=5):
+    sets = []
+    for text in (a, b):
+        w = words("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+        sets.append({tuple(w[i : i + n]) for i in range(len(w) - n + 1)} or {tuple(w)})
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+
+
+def near_texts(seed, groups, copies, most):
+    """Texts of 60 words and copies of them with some words changed: likeness on both sides of 0.8."""
+    rng = random.Random(seed)
+    for _ in range(groups):
+        base = [f"w{rng.randrange(400)}" for _ in range(60)]
+        for _ in range(copies):
+            own = list(base)
+            for _ in range(rng.randint(0, most)):
+                own[rng.randrange(60)] = f"x{rng.randrange(10**6)}"
+            yield " ".join(own)
+
+
+@pytest.mark.parametrize(("groups", "copies", "pairs"), [(30, 4, 2.0), (3, 40, 0.0)])
+def test_near_copies_are_those_of_exact_likeness(spark, groups, copies, pairs):
+    texts = list(near_texts(8, groups, copies, 3))
+    rows = [*awkward(9), *((1000 + i, t, "s", "en", len(t)) for i, t in enumerate(texts))]
+    group = least_reachable(range(len(rows)), lambda a, b: brute_likeness(rows[a][1], rows[b][1]) >= 0.8)
+    got = minhash.near_copies(frame(spark, rows, True), pairs_per_entry=pairs).where("doc_id >= 1000")
+    mine = {}
+    for r in got.collect():
+        mine.setdefault(r.group, set()).add(r.doc_id)
+    want = {}
+    for i, r in enumerate(rows):
+        if (r[0] or 0) >= 1000:
+            want.setdefault(group[i], set()).add(r[0])
+    assert by_repr(map(sorted, mine.values())) == by_repr(map(sorted, want.values()))
+    assert groups < len(want) < groups * copies
+    assert minhash.near_copies(frame(spark, [])).count() == 0
+
+
+def test_pipeline_drops_near_copies_of_likeness_above_0_8(spark):
+    base = [f"w{i}" for i in range(120)]
+    near, far = list(base), list(base)
+    near[30] = near[70] = "other"  # 10 of 116 shingles: 106 / 126
+    for i in range(5, 120, 20):
+        far[i] = "other"  # 30 of 116 shingles: 86 / 146
+    rows = [(i, " ".join(w), "s", "en", None) for i, w in enumerate((base, near, far))]
+    kept = corpus_pipeline.simhash_dedup(spark, frame(spark, rows), "")
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 2]
