@@ -84,7 +84,8 @@ class Segments:
     def __init__(self, length: int):
         self.length, self.keys, self.bases, self.texts, self.size = length, [], [], [], 0
 
-    def add(self, key: tuple[int, int], text: bytes) -> None:
+    def add(self, key: tuple[int, int], text: bytes) -> Iterator[Segments]:
+        """Take in a text; whenever ``GATHER`` bytes are held, they are handed out, also within it."""
         for base in range(0, max(1, len(text) - self.length + 1), GATHER):
             part = text[base : base + GATHER + self.length - 1]
             if len(part) >= self.length:
@@ -92,6 +93,9 @@ class Segments:
                 self.bases.append(base)
                 self.texts.append(part)
                 self.size += len(part)
+                if self.size >= GATHER:
+                    yield self
+                    self.keys, self.bases, self.texts, self.size = [], [], [], 0
 
     def anchors(self) -> tuple[np.ndarray, ...]:
         """(data, segment, anchor, first start, number of starts, hash of the anchor); places in ``data``."""
@@ -100,6 +104,8 @@ class Segments:
         sizes = np.array([len(t) for t in self.texts])
         ends = np.cumsum(sizes)
         hashes = rolling(data, GRAM)
+        if len(hashes) > 1 << _PLACE:
+            raise ValueError(f"{len(hashes)} places don't fit in {_PLACE} bits")
         low = np.uint64((1 << _PLACE) - 1)
         keys = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64)
         best = (_least(keys, grams) & low).astype(np.int64)
@@ -348,10 +354,8 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             held = Segments(length)
             for batch in batches:
                 for i, tag, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary())):
-                    held.add((i, tag), text.as_py() or b"")
-                    while held.size >= GATHER:
-                        yield from _send_anchors(held, parts)
-                        held = Segments(length)
+                    for full in held.add((i, tag), text.as_py() or b""):
+                        yield from _send_anchors(full, parts)
             yield from _send_anchors(held, parts)
 
         return packed.rows(found())
@@ -396,10 +400,9 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     if data is None:
                         continue
                     wanted[i, tag] = packed.unpack(data)[0]
-                    held.add((i, tag), text.as_py() or b"")
-                    if held.size >= GATHER:
-                        yield from _send_suffixes(held, wanted, FINER * parts, parts)
-                        held, wanted = Segments(length), {}
+                    for full in held.add((i, tag), text.as_py() or b""):
+                        yield from _send_suffixes(full, wanted, FINER * parts, parts)
+                        wanted = {(i, tag): wanted[i, tag]}
             yield from _send_suffixes(held, wanted, FINER * parts, parts)
 
         return packed.rows(found())

@@ -152,6 +152,32 @@ def test_repeated_byte_strings(spark, gather, monkeypatch):
     assert suffixes.without_repeats(frame(spark, [])).count() == 0
 
 
+def test_anchors_of_a_text_longer_than_places_can_say(monkeypatch):
+    monkeypatch.setattr(suffixes, "GATHER", 700)
+    monkeypatch.setattr(suffixes, "_PLACE", 11)
+    rng = random.Random(10)
+    text = bytes(rng.randrange(256) for _ in range(5000))
+    held = suffixes.Segments(200)
+    parts = []
+    for key, own in (((0, 0), b"short" * 60), ((1, 0), text)):
+        for segments in held.add(key, own):
+            assert segments.size <= 2 * 700 + 199
+            parts.append((list(segments.keys), list(segments.bases), segments.anchors()))
+    if held.texts:
+        parts.append((list(held.keys), list(held.bases), held.anchors()))
+    starts = set()
+    for keys, bases, (data, segment, at, start, count, hashes) in parts:
+        assert (suffixes.rolling(data, suffixes.GRAM)[at] == hashes).all()
+        assert ((start <= at) & (at < start + count + 200)).all()
+        raw = data.tobytes()
+        for j, s, n in zip(segment.tolist(), start.tolist(), count.tolist()):
+            if keys[j] == (1, 0):
+                first = text.find(raw[s : s + n + 199])
+                assert first >= 0
+                starts.update(range(first, first + n))
+    assert starts == set(range(5000 - 199))
+
+
 def test_levels_stay_logarithmic_and_miss_no_match():
     import numpy as np
 
