@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from panelkiln.llm import debruijn, licenses, mixing, quality, suffixes, warc
+from panelkiln.llm import debruijn, forest, licenses, mixing, quality, suffixes, warc
 from panelkiln.llm.multiset import edit_study
 from panelkiln.llm.packing import pack
 from panelkiln.llm.secrets import secret_spans
@@ -130,6 +130,12 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op4_licenses"] = licenses.SQL
 
 
+@_query
+def op11_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return forest.nearest(rows, rows.where("vec_id % 50 = 0"))
+
+
 @_query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
