@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from panelkiln.llm import debruijn, forest, licenses, mixing, quality, suffixes, warc
+from panelkiln.llm import debruijn, forest, licenses, mixing, quality, suffixes, warc, whitening
 from panelkiln.llm.multiset import edit_study
 from panelkiln.llm.packing import pack
 from panelkiln.llm.secrets import secret_spans
@@ -136,6 +136,12 @@ def op11_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.nearest(rows, rows.where("vec_id % 50 = 0"))
 
 
+@_query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 @_query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)

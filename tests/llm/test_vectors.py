@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from panelkiln.llm import forest
+from panelkiln.llm import forest, whitening
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
 
@@ -94,3 +94,68 @@ def test_nearest_with_few_rows(spark):
     assert [r[:3] for r in got] == [(1, 1, 2), (2, 1, 1)]
     assert got[0][3] == pytest.approx(2**-0.5, abs=1e-15)
     assert forest.nearest(two, empty).collect() == []
+
+
+def brute_whitening(rows, k):
+    """By Python ints, and a covariance matrix that is rounded once."""
+    fine = [(i, [math.floor(256 * c) for c in v]) for i, v in usable(rows, zero=True)]
+    fit = [list(x) for x in {tuple(x) for _, x in fine}]
+    n, d = len(fit), len(fit[0])
+    sums = [sum(x[j] for x in fit) for j in range(d)]
+    centred = [[n * x[j] - sums[j] for j in range(d)] for x in fit]
+    v = np.array([[sum(y[i] * y[j] for y in centred) / n**3 for j in range(d)] for i in range(d)])
+    values, vectors = np.linalg.eigh(v)
+    values, vectors = values[::-1][:k], vectors[:, ::-1][:, :k]
+    found = {}
+    for i, x in fine:
+        y = [n * x[j] - sums[j] for j in range(d)]
+        whitened = np.array([c / n for c in y]) @ vectors / np.sqrt(values)
+        found.setdefault((i, tuple(x)), []).append((sum(c * c for c in y), whitened))
+    return n, found, values / np.trace(v), fine
+
+
+def test_whitening(spark):
+    rows = [r for r in odd_vectors() if r[0] != 9300]
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("x", F.lit("other")).withColumn("component", F.lit(1)).repartition(5)
+    n, want, shares, fine = brute_whitening(rows, 4)
+    got = whitening.whiten(df).collect()
+    assert len(got) == 4 * len(fine)
+    sides = {}
+    for r in got:
+        k = r.component - 1
+        assert r.n == n and abs(r.explained - shares[k]) < 1e-12 and r.identity_error < 1e-9
+        near = [w for i, ws in want.items() if i[0] == r.vec_id for w in ws if w[0] == int(r.deviation)]
+        assert near
+        side = next((s for s in (1, -1) for w in near if abs(abs(r.whitened) - abs(w[1][k])) < 1e-9 and abs(s * r.whitened - w[1][k]) < 1e-9), None)
+        assert side
+        if abs(r.whitened) > 1e-6:
+            sides.setdefault(k, set()).add(side)
+    assert all(len(s) == 1 for s in sides.values()) and len(sides) == 4
+
+
+@pytest.mark.parametrize("bits", [4, 22, 26, 40, 54, 61, 90])
+def test_exact_squares(bits):
+    rng = random.Random(bits)
+    y = [[rng.randint(-(1 << bits), 1 << bits) for _ in range(5)] for _ in range(3000)] + [[1 << bits] * 5, [-(1 << bits)] * 5]
+    got = whitening.squares(np.array(y, np.int64 if bits < 63 else object))
+    for i in range(5):
+        for j in range(i, 5):
+            assert got[i, j] == sum((r[i] + r[j]) ** 2 if i < j else r[i] ** 2 for r in y)
+
+
+def test_covariances_by_polarisation():
+    rng = np.random.default_rng(4)
+    x = rng.integers(-300, 300, size=(500, 7)) + 10**6  # a mean that would drown float sums of squares
+    sums = [int(s) for s in x.sum(axis=0)]
+    squares = whitening.squares(whitening.centred(x, 500, sums))
+    v, trace = whitening.covariances(500, {(i, j): squares[i, j] for i in range(7) for j in range(i, 7)})
+    assert np.allclose(v, np.cov(x.T.astype(float), bias=True), rtol=1e-9, atol=1e-6) and trace == pytest.approx(np.trace(v))
+
+
+def test_whitening_without_variance(spark):
+    for rows in ([], [(1, [1.0, 2.0], 0)], [(i, [1.0, 2.0], 0) for i in range(5)], [(1, None, 0), (2, [], 0)]):
+        assert whitening.whiten(spark.createDataFrame(rows, SCHEMA)).collect() == []
+    flat = whitening.whiten(spark.createDataFrame([(i, [float(i), 1.0], 0) for i in range(4)] + [(None, [9.0, 1.0], 0)], SCHEMA)).collect()
+    assert {r.component for r in flat} == {1} and len(flat) == 5 and all(r.explained == pytest.approx(1) for r in flat)
+    huge = spark.createDataFrame([(i, [1e30 * (-1) ** i, 1e-30 * i], 0) for i in range(6)], SCHEMA)  # (nearest long, 0)
+    assert whitening.whiten(huge).count() == 6
