@@ -2,10 +2,12 @@
 
 An archive starts with a skippable frame that holds the dictionary, built
 from the first records that the archive takes; every record follows as a frame of
-its own. Archives are written by Spark's text writer, so that they reach any
+its own, and a last skippable frame holds their number, so that an archive which
+ends early is told from a whole one. Archives are written by Spark's text writer, so that they reach any
 store that Spark reaches and a lost executor leaves no half-written file. That
-writer ends each row with a line feed; a row ends with the header of a skippable frame
-of one byte, which the line feed fills, so that readers pass over it.
+writer ends each row with a line feed; a row of frames ends with the header of a skippable frame
+of one byte, which the line feed fills, so that readers pass over it. The writer also
+starts a new file after a fixed number of rows, and a new archive starts there.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ import hashlib
 import struct
 import uuid
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 import zstandard
@@ -22,8 +25,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 DICTIONARY_FRAME = 0x184D2A5D
 FILLER_FRAME = 0x184D2A50
+END_FRAME = 0x184D2A5E
 _SKIPPABLE = range(0x184D2A50, 0x184D2A60)
 _FILLER = struct.pack("<II", FILLER_FRAME, 1)
+_END = struct.Struct("<IIQ")
+
+#: Bytes of frames that a row takes before the next one starts, and rows of an archive: about 128 MB, since Spark reads
+#: it back as one binary value.
+ROW_BYTES = 1 << 20
+ROWS = 128
 
 #: Bytes of records that an archive's dictionary is built from at most, and the dictionary's size.
 SAMPLE_BYTES = 4 << 20
@@ -93,36 +103,66 @@ def dictionary(records: list[bytes]) -> zstandard.ZstdCompressionDict | None:
         return None
 
 
-def rows_of(records: Iterator[bytes], level: int = 6) -> Iterator[bytes]:
-    """An archive's rows: first the dictionary, then the records."""
-    sample, size = [], 0
-    for r in records:
-        sample.append(r)
-        size += len(r)
-        if size >= SAMPLE_BYTES:
-            break
-    learned = dictionary(sample)
-    if learned is not None:
-        raw = learned.as_bytes()
-        yield struct.pack("<II", DICTIONARY_FRAME, len(raw)) + raw + _FILLER
-    press = zstandard.ZstdCompressor(level=level, dict_data=learned, write_checksum=True)
-    for group in (sample, records):
-        for r in group:
-            yield press.compress(r) + _FILLER
-
-
-def read_frames(archive: bytes, step: int = 1 << 16) -> Iterator[bytes]:
-    """The records of an archive, whoever wrote it."""
-    view, at, learned = memoryview(archive), 0, None
+def rows_of(records: Iterator[bytes], level: int = 6, rows: int = ROWS, row_bytes: int = ROW_BYTES) -> Iterator[bytes]:
+    """Rows of as many archives as it takes, ``rows`` (3 at least) each but for the last: dictionary, frames, number of records."""
+    following = next(records, None)
+    while True:
+        sample, size = [], 0
+        while following is not None and size < SAMPLE_BYTES:
+            sample.append(following)
+            size += len(following)
+            following = next(records, None)
+        learned = dictionary(sample)
+        raw = b"" if learned is None else learned.as_bytes()
+        yield (struct.pack("<II", DICTIONARY_FRAME, len(raw)) + raw if raw else b"") + _FILLER
+        press = zstandard.ZstdCompressor(level=level, dict_data=learned, write_checksum=True)
+        made, count, frames, held = 1, 0, [], 0
+        sample.reverse()
+        while sample or following is not None:
+            if made == rows - 1:
+                break
+            if sample:
+                frame = press.compress(sample.pop())
+            else:
+                frame, following = press.compress(following), next(records, None)
+            frames.append(frame)
+            count, held = count + 1, held + len(frame)
+            if held >= row_bytes:
+                yield b"".join(frames) + _FILLER
+                made, frames, held = made + 1, [], 0
+        if frames:
+            yield b"".join(frames) + _FILLER
+        yield _END.pack(END_FRAME, 9, count)  # its last byte is the line feed
+        if not sample and following is None:
+            return
+        if sample:  # taken for the dictionary, but for the next archive
+            sample.reverse()
+            records = chain(sample[1:], [] if following is None else [following], records)
+            following = sample[0]
+
+
+def read_frames(archive: bytes, step: int = 1 << 16, counted: bool = True) -> Iterator[bytes]:
+    """The records of an archive, whoever wrote it; what ends early is an error.
+
+    Archives of other writers don't say how many records they hold: read them with
+    ``counted=False``, and a cut between two records goes unnoticed.
+    """
+    view, at, learned, read, ended = memoryview(archive), 0, None, 0, False
     unpress = zstandard.ZstdDecompressor()
     while at < len(view):
         if len(view) - at < 8:
-            raise ValueError("the archive ends within a record")
+            raise ValueError("the archive ends within a frame")
         magic, size = struct.unpack_from("<II", view, at)
         if magic in _SKIPPABLE:
+            if at + 8 + size > len(view):
+                raise ValueError("the archive ends within a frame")
             if magic == DICTIONARY_FRAME and learned is None:
                 learned = zstandard.ZstdCompressionDict(bytes(view[at + 8 : at + 8 + size]))
                 unpress = zstandard.ZstdDecompressor(dict_data=learned)
+            elif magic == END_FRAME and size == 9:
+                if _END.unpack_from(view, at)[2] != read:
+                    raise ValueError("the archive has lost records")
+                ended = True
             at += 8 + size
             continue
         frame, out = unpress.decompressobj(), []
@@ -132,24 +172,29 @@ def read_frames(archive: bytes, step: int = 1 << 16) -> Iterator[bytes]:
             part = view[at : at + step]
             out.append(frame.decompress(part))
             at += len(part) - len(frame.unused_data)
+        read, ended = read + 1, False
         yield b"".join(out)
+    if counted and not ended:
+        raise ValueError("the archive has no end")
 
 
-def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, date: str = DATE, level: int = 6) -> None:
-    """Write (page_id, url, html) as archives below ``folder``, one for each partition.
+def write_archives(
+    pages: DataFrame, folder: str, least_bytes: int = 0, date: str = DATE, level: int = 6, rows: int = ROWS, row_bytes: int = ROW_BYTES
+) -> None:
+    """Write (page_id, url, html) as archives below ``folder``, one or more for each partition.
 
     Of records with equal payloads of at least ``least_bytes`` bytes, that with the largest
     page_id is the response and the others revisit it; rows that repeat the largest id
     are responses too. A null html is an empty payload, a null page_id the smallest.
     Other columns play no part; an empty table writes no record.
     """
-    rows = pages.select(
+    own = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
         (F.col("url").cast("string") if "url" in pages.columns else F.lit(None).cast("string")).alias("url"),
         F.encode(F.coalesce("html", F.lit("")), "utf-8").alias("payload"),
     ).withColumn("digest", F.sha1("payload"))
-    last = rows.groupBy("digest").agg(F.max("page_id").alias("response_id"))
-    known = rows.join(last, "digest").select(
+    last = own.groupBy("digest").agg(F.max("page_id").alias("response_id"))
+    known = own.join(last, "digest").select(
         "page_id", "url", "payload", "response_id",
         (~F.col("page_id").eqNullSafe(F.col("response_id")) & (F.length("payload") >= least_bytes)).alias("revisit"),
     )
@@ -163,7 +208,7 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, date: st
                     yield record(page_id, url, payload, response_id, revisit, date)
 
         out, size = [], 0
-        for row in rows_of(records(), level):
+        for row in rows_of(records(), level, rows, row_bytes):
             out.append(row)
             size += len(row)
             if size > 1 << 20:
@@ -172,11 +217,17 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, date: st
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
 
-    known.mapInArrow(scan, "value binary").select(F.col("value").cast("string")).write.option("lineSep", "\n").text(folder)
+    archives = known.mapInArrow(scan, "value binary").select(F.col("value").cast("string"))
+    archives.write.option("lineSep", "\n").option("maxRecordsPerFile", rows).text(folder)
 
 
 def read_archives(spark: SparkSession, folder: str) -> DataFrame:
-    """All records of the archives below ``folder``, in the columns of ``RECORD``."""
+    """All records of the archives below ``folder``, in the columns of ``RECORD``.
+
+    Records come as they were written: without a page id or url where the page had none, with an empty payload for a null
+    one, repeated where rows were. A revisit has no payload. A folder of archives without records gives an empty table.
+    An archive that ends early, has lost records or holds a damaged payload is an error.
+    """
     names = [part.split()[0] for part in RECORD.split(", ")]
     types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary()]
 

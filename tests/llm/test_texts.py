@@ -194,11 +194,62 @@ def test_archives(spark, tmp_path):
     assert struct.unpack_from("<I", first)[0] == warc.DICTIONARY_FRAME
     with pytest.raises((ValueError, zstandard.ZstdError)):
         list(warc.read_frames(first[: len(first) // 2]))
+    starts = [0, 5, 8, 20, 100, 1000, len(first) // 10, len(first) // 5, len(first) // 3, len(first) - 1, len(first) - 9, len(first) - 10, len(first) - 17, len(first) - 18]
+    for stop in starts + random.Random(1).sample(range(len(first)), 60):
+        with pytest.raises((ValueError, zstandard.ZstdError)):
+            list(warc.read_frames(first[:stop]))
     empty = str(tmp_path / "empty")
     warc.write_archives(pages.limit(0), empty)
     assert warc.read_archives(spark, empty).count() == 0
 
 
+def _archives(rows):
+    """Files as Spark's writer makes them of rows, and their records."""
+    return b"".join(r + b"\n" for r in rows)
+
+
+def test_every_cut_of_an_archive_is_an_error():
+    records = [f"record {i} ".encode() * (i % 40) + b"\n" for i in range(60)]
+    for some in (records, [b"x"], []):
+        archive = _archives(warc.rows_of(iter(some)))
+        assert list(warc.read_frames(archive)) == some
+        for stop in range(len(archive)):
+            with pytest.raises((ValueError, zstandard.ZstdError)):
+                list(warc.read_frames(archive[:stop]))
+    press = zstandard.ZstdCompressor()
+    foreign = b"".join(press.compress(r) for r in records)
+    assert list(warc.read_frames(foreign, counted=False)) == records
+    with pytest.raises(ValueError):
+        list(warc.read_frames(foreign))
+
+
+def test_lost_records_are_an_error():
+    rows = list(warc.rows_of(iter([bytes([i]) * 900 for i in range(40)]), row_bytes=100))
+    assert len(list(warc.read_frames(_archives(rows)))) == 40
+    for k in range(1, len(rows) - 1):
+        with pytest.raises(ValueError):
+            list(warc.read_frames(_archives(rows[:k] + rows[k + 1 :])))
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 50, 997])
+def test_archives_roll(n):
+    rng = random.Random(n)
+    records = [rng.randbytes(rng.randint(1, 200)) for _ in range(n)]
+    rows = list(warc.rows_of(iter(records), rows=5, row_bytes=300))
+    files = [rows[i : i + 5] for i in range(0, len(rows), 5)]
+    assert all(len(f) == 5 for f in files[:-1])
+    assert [r for f in files for r in warc.read_frames(_archives(f))] == records
+
+
+def test_rolled_archives_through_spark(spark, tmp_path):
+    rows = [(i, None, f"page {i} " * (i % 90)) for i in range(700)]
+    folder = str(tmp_path / "rolled")
+    warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2), folder, rows=4, row_bytes=500)
+    assert len(list((tmp_path / "rolled").glob("part-*"))) > 8
+    got = warc.read_archives(spark, folder).where("record_type = 'response'").collect()
+    assert len({r.payload_digest for r in got}) == len(got) == len({r[2] for r in rows})
+
+
 def reference_ids(text):
     from tokenizers import Tokenizer
 
