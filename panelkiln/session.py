@@ -59,11 +59,16 @@ def clear_stored(spark: SparkSession) -> int:
     """
     gone = 0
     while _MADE:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
-        gone += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+        gone += delete_folder(spark, _MADE.pop())
     return gone
 
 
+def delete_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder in whatever store it is in; False where there was none."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True))
+
+
 def stored(df: DataFrame, label: str = "stored") -> DataFrame:
     """The same rows, computed once and read from a table in the shared folder afterwards.
 
@@ -73,3 +78,27 @@ def stored(df: DataFrame, label: str = "stored") -> DataFrame:
     path = fresh_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """Stored tables of a computation that needs them for a while, such as one round of a loop.
+
+    ``clear`` deletes them, so that the shared folder holds what later steps read
+    and not what all rounds have written. Call it once no unwritten result depends on them.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def stored(self, df: DataFrame, label: str = "scratch") -> DataFrame:
+        before = len(_MADE)
+        table = stored(df, label)
+        self.paths += _MADE[before:]
+        return table
+
+    def clear(self) -> None:
+        for path in self.paths:
+            delete_folder(self.spark, path)
+            if path in _MADE:
+                _MADE.remove(path)
+        self.paths = []

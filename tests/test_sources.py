@@ -155,6 +155,19 @@ def test_stored_tables_can_be_cleared(spark, monkeypatch):
         spark.read.parquet(path)
 
 
+def test_scratch_tables_go_without_the_others(spark, monkeypatch):
+    monkeypatch.setattr(session, "_MADE", [])
+    kept, scratch = session.stored(spark.range(3)), session.Scratch(spark)
+    gone = [scratch.stored(spark.range(n)) for n in (1, 2)]
+    paths = [t.inputFiles()[0].rsplit("/", 1)[0] for t in gone]
+    scratch.clear()
+    scratch.clear()
+    for path in paths:
+        with pytest.raises(AnalysisException):
+            spark.read.parquet(path)
+    assert kept.count() == 3 and session.clear_stored(spark) == 1
+
+
 def test_price_stream_resumes_and_equals_the_batch_merge(spark):
     paths = [fresh_folder(spark, n) for n in ("t-landing", "t-store", "t-checkpoint")]
     rows = random_prices(seed=9, symbols=3, nulls=0)
