@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from panelkiln.session import stored
+from panelkiln.session import Scratch
 
 
 def _signature(edges: DataFrame) -> tuple:
@@ -36,12 +36,16 @@ def components(edges: DataFrame) -> DataFrame:
     rounds grows with the logarithm of the longest path; only a count and a sum
     reach the driver. Loops and nulls are ignored, repeated edges count once.
     """
+    spark = edges.sparkSession
     current = edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    current = stored(current, "edges")
+    held = Scratch(spark)
+    current = held.stored(current, "edges")
     seen = _signature(current)
     while seen[0]:
-        current = stored(_small_star(_large_star(current)), "stars")
-        now = _signature(current)
+        following = Scratch(spark)
+        current = following.stored(_small_star(_large_star(current)), "stars")
+        held.clear()  # the round before, which nothing reads any more
+        held, now = following, _signature(current)
         if now == seen:
             break
         seen = now

@@ -216,24 +216,50 @@ def near_texts(seed, groups, copies, most):
             yield " ".join(own)
 
 
-@pytest.mark.parametrize(("groups", "copies", "pairs"), [(30, 4, 2.0), (3, 40, 0.0)])
-def test_near_copies_are_those_of_exact_likeness(spark, groups, copies, pairs):
+def groups_of(rows, group):
+    found = {}
+    for (doc_id, *_), g in zip(rows, group):
+        found.setdefault(g, []).append(doc_id)
+    return by_repr(by_repr(x) for x in found.values())
+
+
+def got_groups(got):
+    found = {}
+    for r in got.collect():
+        found.setdefault(r.group, []).append(r.doc_id)
+    return by_repr(by_repr(x) for x in found.values())
+
+
+@pytest.mark.parametrize(("groups", "copies", "exact"), [(30, 4, False), (30, 4, True), (3, 40, True)])
+def test_near_copies_are_those_of_exact_likeness(spark, groups, copies, exact):
+    """Awkward rows too: nulls, texts without words, repeated rows, rows without ids, a very long text."""
     texts = list(near_texts(8, groups, copies, 3))
     rows = [*awkward(9), *((1000 + i, t, "s", "en", len(t)) for i, t in enumerate(texts))]
     group = least_reachable(range(len(rows)), lambda a, b: brute_likeness(rows[a][1], rows[b][1]) >= 0.8)
-    got = minhash.near_copies(frame(spark, rows, True), pairs_per_entry=pairs).where("doc_id >= 1000")
-    mine = {}
-    for r in got.collect():
-        mine.setdefault(r.group, set()).add(r.doc_id)
-    want = {}
-    for i, r in enumerate(rows):
-        if (r[0] or 0) >= 1000:
-            want.setdefault(group[i], set()).add(r[0])
-    assert by_repr(map(sorted, mine.values())) == by_repr(map(sorted, want.values()))
-    assert groups < len(want) < groups * copies
+    want = groups_of(rows, group.values())
+    assert got_groups(minhash.near_copies(frame(spark, rows, True), exact=exact)) == want
+    assert groups < len({g for r, g in zip(rows, group.values()) if (r[0] or 0) >= 1000}) < groups * copies
     assert minhash.near_copies(frame(spark, [])).count() == 0
 
 
+def test_leaders_find_most_links_and_no_others(spark):
+    """Groups of many copies whose likeness to each other is about 0.8: some pairs link, many don't."""
+    rows = [(i, t, "s", "en", None) for i, t in enumerate(near_texts(3, 5, 60, 2))]
+    group = least_reachable(range(len(rows)), lambda a, b: brute_likeness(rows[a][1], rows[b][1]) >= 0.8)
+    got = {r.doc_id: r.group for r in minhash.near_copies(frame(spark, rows)).collect()}
+    together = {}
+    for doc_id, g in got.items():
+        together.setdefault(g, set()).add(group[doc_id])
+    assert all(len(g) == 1 for g in together.values())  # none that no links connect
+    assert len(together) <= 1.1 * len(set(group.values()))
+
+
+def test_pairs_with_leaders_grow_with_the_entries(spark):
+    for m in (200, 400, 800):
+        entries = spark.range(m).selectExpr("explode(sequence(0L, 31L)) AS key", "id AS node", "id AS root")
+        assert minhash._with_leaders(entries, [1, 2, 3]).count() <= 3 * 32 * m
+
+
 def test_pipeline_drops_near_copies_of_likeness_above_0_8(spark):
     base = [f"w{i}" for i in range(120)]
     near, far = list(base), list(base)
