@@ -38,8 +38,11 @@ TOGETHER = 4 << 20
 #: Fragments that are composed at once.
 FAN_IN = 16
 
+#: Parts that are encoded at once.
+WORDS = 20_000
+
 #: Code points of parts that a task remembers.
-REMEMBERED = 4 << 20
+REMEMBERED = 6 << 20
 
 _CUT = re.compile(r"(?<=[^ ]) (?=\S)")
 _SPACE = "▁"
@@ -88,9 +91,20 @@ class Fragment:
 
     def groups(self) -> list[str]:
         """Of a whole text, whose end is a cut: each group as ``a1,a2|b1``."""
-        a, b = list(map(str, self.a.tolist())), list(map(str, self.b.tolist()))
-        ends = zip([0, *self.a_cuts.tolist()], self.a_cuts.tolist(), [0, *self.b_cuts.tolist()], self.b_cuts.tolist())
-        return [f"{','.join(a[i:j])}|{','.join(b[k:m])}" for i, j, k, m in ends]
+        texts = (tuple(np.array([f"{i}{mark}" for i in ids.tolist()], object) for mark in (",", end)) for ids, end in ((self.a, "|"), (self.b, ";")))
+        places = Fragment(np.arange(len(self.a)), np.arange(len(self.b)), self.a_cuts, self.b_cuts)
+        return "".join(places.written(*texts)).split(";")[:-1]
+
+    def written(self, a_text: tuple[np.ndarray, np.ndarray], b_text: tuple[np.ndarray, np.ndarray]) -> list[str]:
+        """All groups of a whole text id by id, given how an id is written within and at the end of its side of a group."""
+        sides = []
+        for ids, cuts, (within, at_end) in ((self.a, self.a_cuts, a_text), (self.b, self.b_cuts, b_text)):
+            last = np.zeros(len(ids), bool)
+            last[cuts - 1] = True
+            sides.append((np.where(last, at_end[ids], within[ids]), np.cumsum(last) - last))
+        # A's ids of a group stand before B's, and groups in their order.
+        place = np.argsort(np.concatenate([2 * sides[0][1], 2 * sides[1][1] + 1]), kind="stable")
+        return np.concatenate([sides[0][0], sides[1][0]])[place].tolist()
 
     def links(self) -> np.ndarray:
         """The ids that end together, as pair codes."""
@@ -145,42 +159,62 @@ class Tokenizers:
             raise ValueError("a piece goes on behind a space: texts can't be taken apart there")
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_SPACE, " ").encode() for i, p in enumerate(pieces)]
         self.a_length, self.b_length = (np.array([len(t) for t in x], np.int64) for x in (self.a_bytes, self.b_bytes))
+        # An id as it is written in a group, before another id of its side and at the end of its side.
+        self.a_text, self.b_text = (
+            tuple(np.array([f"{i}{mark}" for i in range(len(x))], object) for mark in (",", end)) for x, end in ((self.a_bytes, "|"), (self.b_bytes, ";"))
+        )
         self.forget()
 
     def forget(self) -> None:
         self.place: dict[str, int] = {}
         self.lines: list[str] = []
-        self.counts: list[tuple[int, int, int]] = []  # ids of A, of B, groups; (-1, 0, 0) where bytes differ
-        self.pairs: list[np.ndarray] = []
+        self.sizes = np.zeros((0, 3), np.int64)  # ids of A, of B, groups of each part; (-1, 0, 0) where bytes differ
+        self.links = np.zeros(0, np.int64)
         self.held = 0
 
-    def aligned(self, parts: list[str]) -> list[Fragment]:
-        """A fragment for each part with its leading space."""
-        a_ids = [e.ids for e in self.a.encode_batch_fast([" " + p for p in parts], add_special_tokens=False)]
-        b_ids = self.b.encode(parts, num_threads=1)
-        out = []
-        for part, a, b in zip(parts, a_ids, b_ids):
-            data = b" " + part.encode()
-            good = b"".join([self.a_bytes[i] for i in a]) == data and b"".join([self.b_bytes[i] for i in b]) == data
-            if not good:
-                out.append(Fragment.none())
-                out[-1].good = False
-                continue
-            a, b = np.array(a, np.int64), np.array(b, np.int64)
-            a_ends, b_ends = np.cumsum(self.a_length[a]), np.cumsum(self.b_length[b])
-            out.append(Fragment.of_range(a, a_ends, b, b_ends, 0, len(data)))
-        return out
+    def encoded(self, data: str) -> Fragment | None:
+        """The fragment of a text behind its leading space, or None where the bytes differ."""
+        a = self.a.encode_batch_fast([" " + data], add_special_tokens=False)[0].ids
+        b = self.b.encode(data, num_threads=1)
+        raw = b" " + data.encode()
+        if b"".join([self.a_bytes[i] for i in a]) != raw or b"".join([self.b_bytes[i] for i in b]) != raw:
+            return None
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        return Fragment.of_range(a, np.cumsum(self.a_length[a]), b, np.cumsum(self.b_length[b]), 0, len(raw))
 
     def learn(self, parts: Iterable[str]) -> None:
+        """Parts of plain words are encoded in one text, which comes apart again where they meet; others one by one."""
         new = [p for p in dict.fromkeys(parts) if p not in self.place]
-        for i in range(0, len(new), 1000):
-            some = new[i : i + 1000]
-            for part, f in zip(some, self.aligned(some)):
-                self.place[part] = len(self.lines)
-                self.lines.append(";".join(f.groups()))
-                self.counts.append((len(f.a), len(f.b), len(f.a_cuts)) if f.good else (-1, 0, 0))
-                self.pairs.append(f.links())
-                self.held += len(part)
+        plain = [p for p in new if p and not p[0].isspace() and p[-1] != " "]
+        single = [p for p in new if not (p and not p[0].isspace() and p[-1] != " ")]
+        for i in range(0, len(plain), WORDS):
+            some = plain[i : i + WORDS]
+            whole = self.encoded(" ".join(some))
+            if whole is None:
+                single += some
+            else:
+                ends = np.cumsum([len(p.encode()) + 1 for p in some])
+                self._keep(some, whole, np.searchsorted(np.cumsum(self.a_length[whole.a])[whole.a_cuts - 1], ends, "right"))
+        for p in single:
+            whole = self.encoded(p)
+            if whole is None:
+                self._add([p], [""], np.array([[-1, 0, 0]]), self.links[:0])
+            else:
+                self._keep([p], whole, np.array([len(whole.a_cuts)]))
+
+    def _keep(self, parts: list[str], whole: Fragment, stops: np.ndarray) -> None:
+        """``stops``: cuts of ``whole`` up to the end of each part."""
+        n_groups = np.diff(stops, prepend=0)
+        n_a, n_b = (np.diff(cuts[stops - 1], prepend=0) for cuts in (whole.a_cuts, whole.b_cuts))
+        written = whole.written(self.a_text, self.b_text)
+        ends = np.cumsum(n_a + n_b).tolist()
+        self._add(parts, ["".join(written[i:j]) for i, j in zip([0, *ends], ends)], np.stack([n_a, n_b, n_groups], axis=1), whole.links())
+
+    def _add(self, parts: list[str], lines: list[str], sizes: np.ndarray, links: np.ndarray) -> None:
+        self.place.update(zip(parts, range(len(self.lines), len(self.lines) + len(parts))))
+        self.lines += lines
+        self.sizes, self.links = np.concatenate([self.sizes, sizes]), np.concatenate([self.links, links])
+        self.held += sum(map(len, parts))
 
 
 @lru_cache(maxsize=1)
@@ -205,25 +239,29 @@ def _short(t: Tokenizers, ids: list[int | None], texts: list[str | None]) -> Ite
         t.forget()
     parts = [_CUT.split(x) if x else [] for x in texts]
     t.learn(p for some in parts for p in some)
+    starts = np.cumsum(t.sizes[:, 2]) - t.sizes[:, 2]
     for i, some in zip(ids, parts):
         places = [t.place[p] for p in some]
-        counts = [t.counts[p] for p in places]
-        if not places or min(c[0] for c in counts) < 0:
+        sizes = t.sizes[places]
+        if not places or sizes[:, 0].min() < 0:
             yield (i, *_NOTHING)
             continue
-        n_a, n_b, n_groups = map(sum, zip(*counts))
-        digest = hashlib.sha256(";".join([t.lines[p] for p in places]).encode()).hexdigest()
-        yield i, n_a, n_b, n_groups, digest, np.concatenate([t.pairs[p] for p in places])
+        n_a, n_b, n_groups = sizes.sum(axis=0).tolist()
+        digest = hashlib.sha256("".join([t.lines[p] for p in places])[:-1].encode()).hexdigest()
+        n = sizes[:, 2]
+        where = np.arange(n_groups) + np.repeat(starts[places] - np.cumsum(n) + n, n)
+        yield i, n_a, n_b, n_groups, digest, t.links[where]
 
 
-def _long(rows: Iterable[tuple[int | None, Fragment]]) -> Iterator[Aligned]:
+def _long(t: Tokenizers, rows: Iterable[tuple[int | None, Fragment]]) -> Iterator[Aligned]:
     for i, f in rows:
         if not f.good or not len(f.a):
             yield (i, *_NOTHING)
             continue
-        digest = hashlib.sha256()
-        for at, group in enumerate(f.groups()):
-            digest.update((";" * (at > 0) + group).encode())
+        digest, written = hashlib.sha256(), f.written(t.a_text, t.b_text)
+        written[-1] = written[-1][:-1]
+        for at in range(0, len(written), WORDS):
+            digest.update("".join(written[at : at + WORDS]).encode())
         yield i, len(f.a), len(f.b), len(f.a_cuts), digest.hexdigest(), f.links()
 
 
@@ -302,8 +340,10 @@ def _fragments(docs: DataFrame, paths: tuple[str, str], size: int) -> DataFrame:
         t = tokenizers(*paths)
         for batch in batches:
             for i in range(batch.num_rows):
-                parts = _CUT.split(batch.column("text")[i].as_py())
-                whole = composed([f for at in range(0, len(parts), 1000) for f in t.aligned(parts[at : at + 1000])])
+                whole = t.encoded(batch.column("text")[i].as_py())
+                if whole is None:
+                    whole = Fragment.none()
+                    whole.good = False
                 columns = [*(batch.column(c).slice(i, 1) for c in names[:3]), pa.array([whole.packed()], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, [*names[:3], "data"])
 
@@ -353,8 +393,10 @@ def align(docs: DataFrame, paths: tuple[str, str] | None = None, id_col: str = "
         yield from _tables(x for batch in batches for group in _groups_of(batch, TOGETHER) for x in _short(t, *group))
 
     def long(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = tokenizers(*paths)
         columns = (zip(batch.column("doc_id"), batch.column("data")) for batch in batches)
-        yield from _tables(_long((i.as_py(), Fragment.unpacked(data.as_py())) for rows in columns for i, data in rows))
+        fragments = ((i.as_py(), Fragment.unpacked(data.as_py())) for rows in columns for i, data in rows)
+        yield from _tables(_long(t, fragments))
 
     rows = keyed(docs, id_col, text_col)
     is_long = F.coalesce(F.length("text") > size, F.lit(False))
