@@ -31,18 +31,21 @@ from panelkiln.llm import packed
 from panelkiln.llm.common import keyed
 from panelkiln.session import stored
 
-#: Code points of a text that one task aligns; a longer one is dealt to several. Texts that share one table of pairs.
+#: Code points of a text that one task aligns; a longer one is dealt to several.
 RANGE = 1 << 16
+
+#: Code points of texts that are looked at together, and bytes of links that share one table of pairs.
+TEXTS = 1 << 20
 TOGETHER = 4 << 20
 
 #: Fragments that are composed at once.
 FAN_IN = 16
 
 #: Parts that are encoded at once.
-WORDS = 20_000
+WORDS = 4_000
 
 #: Code points of parts that a task remembers.
-REMEMBERED = 6 << 20
+REMEMBERED = 2 << 20
 
 _CUT = re.compile(r"(?<=[^ ]) (?=\S)")
 _SPACE = "▁"
@@ -390,7 +393,7 @@ def align(docs: DataFrame, paths: tuple[str, str] | None = None, id_col: str = "
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokenizers(*paths)
-        yield from _tables(x for batch in batches for group in _groups_of(batch, TOGETHER) for x in _short(t, *group))
+        yield from _tables(x for batch in batches for group in _groups_of(batch, TEXTS) for x in _short(t, *group))
 
     def long(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokenizers(*paths)
