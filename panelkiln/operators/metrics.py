@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelkiln.functions.frames import correlation
 from panelkiln.functions.numeric import finite, number, ratio
-from panelkiln.operators.rows import BUCKETS, spread_ranks
+from panelkiln.operators.rows import RANGE_ROWS, with_ranks
 from panelkiln.session import stored
 
 MIN_NAMES = 3
@@ -38,30 +38,22 @@ def daily_rank_ic(
     keys: Sequence[str] = ("decision_date",),
     score: str = "y_pred",
     label: str = "y_true",
-    buckets: int = BUCKETS,
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
     """Spearman correlation per day (and further keys), ties ranked by their average.
 
-    Works on distinct (score, label) cells with counts, stored once. Both ranks
-    are formed over ``buckets`` value ranges of each day, so a day that holds
-    every row is no burden to one task.
+    Both ranks are formed over value ranges of each day (``with_ranks``), so a day that holds
+    every row, or one value that all its rows share, is no burden to one task.
     """
-    cells = stored(
-        _pairs(preds, keys, score, label)
-        .groupBy(F.struct(*keys).alias("_day"), "_s", "_y")
-        .agg(F.count(F.lit(1)).alias("_n")),
-        "cells",
-    )
-    rank_s = spread_ranks(cells, "_day", "_s", "_n", buckets).withColumnRenamed("rank", "_rs")
-    rank_y = spread_ranks(cells, "_day", "_y", "_n", buckets).withColumnRenamed("rank", "_ry").drop("group_size")
-    ranked = cells.join(rank_s, ["_day", "_s"]).join(rank_y, ["_day", "_y"])
+    pairs = stored(_pairs(preds, keys, score, label).select(F.struct(*keys).alias("_day"), "_s", "_y"), "pairs")
+    ranked = with_ranks(pairs, "_day", ["_s", "_y"], range_rows)
     # Ranks of N names average (N + 1) / 2, so centred sums need no second pass.
     middle = (F.col("group_size") + 1) / 2.0
-    a, b, n = F.col("_rs") - middle, F.col("_ry") - middle, F.col("_n")
-    spread = F.sqrt(F.sum(n * a * a)) * F.sqrt(F.sum(n * b * b))
+    a, b = F.col("_s_rank") - middle, F.col("_y_rank") - middle
+    spread = F.sqrt(F.sum(a * a)) * F.sqrt(F.sum(b * b))
     return (
         ranked.groupBy("_day")
-        .agg(F.sum("_n").alias("n"), ratio(F.sum(n * a * b), spread).alias("ic"))
+        .agg(F.count(F.lit(1)).alias("n"), ratio(F.sum(a * b), spread).alias("ic"))
         .filter((F.col("n") >= MIN_NAMES) & finite("ic"))
         .select("_day.*", "n", "ic")
     )

@@ -53,12 +53,33 @@ def build_price_features(
     shuffling both sides by (day, symbol).
     """
     rows = priced_rows(prices, adjusted)
+    dated = attach_daily(rows, market_price(rows), "date")
+    return features_of_rows(dated, lookbacks=lookbacks, include_raw_return=include_raw_return, label_horizon=label_horizon)
+
+
+#: Rows before a day that its features look at, whatever the lookbacks: 20 market returns, the first from two rows before.
+LEAST_TAIL = 22
+
+
+def tail_rows(lookbacks: Sequence[int]) -> int:
+    """How many of a symbol's rows before a day its features depend on, given padded prices."""
+    return max(LEAST_TAIL, *(k + 1 for k in lookbacks))
+
+
+def padded_rows(dated: DataFrame) -> DataFrame:
+    """``priced_rows`` with ``mkt_px``, and with both prices carried forward as ``_p`` and ``_m``; known ones of earlier rows are kept."""
     w = history("date")
-    last20 = before(w, WINDOW_ROWS)
+    known = {c: F.coalesce(c, F.col(px)) if c in dated.columns else F.col(px) for c, px in (("_p", "px"), ("_m", "mkt_px"))}
+    return dated.withColumns({c: pad(value, w) for c, value in known.items()})
 
-    padded = attach_daily(rows, market_price(rows), "date").withColumns(
-        {"_p": pad(F.col("px"), w), "_m": pad(F.col("mkt_px"), w)}
-    )
+
+def features_of_rows(
+    dated: DataFrame, *, lookbacks: Sequence[int], include_raw_return: bool = False, label_horizon: int | None = None
+) -> DataFrame:
+    """``build_price_features`` from ``priced_rows`` that have their day's market price."""
+    w = history("date")
+    last20 = before(w, WINDOW_ROWS)
+    padded = padded_rows(dated)
 
     def price(k: int):
         return F.lag("_p", k).over(w)

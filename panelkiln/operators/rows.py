@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from panelkiln.session import stored
+
 
 def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[Column], last: bool) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
@@ -105,3 +107,53 @@ def spread_ranks(cells: DataFrame, group: str, value: str, weight: str, buckets:
     ranked = placed.withColumn("_upto", F.sum("_ties").over(inside)).join(offsets, [group, "_bucket"])
     rank = F.col("_below") + F.col("_upto") - (F.col("_ties") - 1) / 2.0
     return ranked.select(group, value, rank.alias("rank"), "group_size")
+
+
+#: Rows of a group that one window ranks; a greater group is cut into ranges of about as many, into CUTS at most.
+RANGE_ROWS = 50_000
+CUTS = 1_000
+
+
+def with_ranks(rows: DataFrame, group: str, values: Sequence[str], range_rows: int = RANGE_ROWS) -> DataFrame:
+    """``rows`` with ``{value}_rank``, ties averaged, for each of ``values``, and ``group_size``; no group or value is NULL.
+
+    One exchange for each value and no join back. A group of more than ``range_rows`` rows is cut at its own approximate
+    quantiles, into ranges between cuts and the cuts themselves. A range is ranked by a window of its own; a cut is one value,
+    so its rank follows from the counts alone, and its rows, however many tie
+    there, may be dealt anywhere. Where the cuts fall changes nothing but balance. Tables of groups, cuts and counts
+    are stored, so that Spark knows their size when it chooses a join. ``rows`` is read several times: it has to be stored first.
+    """
+    sizes = stored(rows.groupBy(group).agg(F.count(F.lit(1)).alias("group_size")), "sizes")
+    steps = F.array(*[F.lit(i / CUTS) for i in range(1, CUTS)])
+    great = sizes.where(F.col("group_size") > range_rows)
+    quantiles = rows.join(great, group).groupBy(group).agg(F.first("group_size").alias("group_size"), *[F.percentile_approx(v, steps, 4 * CUTS).alias(v) for v in values])
+    # Every so manyth quantile, as a range shall hold about ``range_rows``.
+    stride = F.greatest(F.lit(1), F.floor(F.lit(float(CUTS) * range_rows) / F.col("group_size")))
+    thinned = [F.array_sort(F.array_distinct(F.filter(v, lambda c, i: i % stride == 0))).alias(f"_cuts_{v}") for v in values]
+    cuts = stored(quantiles.select(group, *thinned), "cuts")
+
+    def place(v: str) -> Column:
+        # Even places lie between cuts, odd ones are a cut: twice the cuts below the value, and one for a cut.
+        below = F.aggregate(f"_cuts_{v}", F.lit(0), lambda k, c: k + F.when(c < F.col(v), 2).when(c == F.col(v), 1).otherwise(0))
+        return F.coalesce(below, F.lit(0)).alias(f"_place_{v}")
+
+    cut = rows.join(cuts, group).select(group, *map(place, values))
+    sides = F.explode(F.array(*[F.struct(F.lit(i).alias("side"), F.col(f"_place_{v}").alias("place")) for i, v in enumerate(values)])).alias("_at")
+    counts = cut.select(group, sides).groupBy(group, "_at").agg(F.count(F.lit(1)).alias("size")).select(group, "_at.*", "size")
+    below = Window.partitionBy(group, "side").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    counts = stored(counts.withColumn("below", F.coalesce(F.sum("size").over(below), F.lit(0))), "counts")
+    # Numbered as the stored rows are read: a task that runs again deals them as before.
+    out = rows.withColumn("_number", F.monotonically_increasing_id()).join(sizes, group).join(cuts, group, "left")
+    out = out.select(*rows.columns, "group_size", "_number", *map(place, values))
+    for i, v in enumerate(values):
+        at = f"_place_{v}"
+        own = counts.where(F.col("side") == i).select(group, F.col("place").alias(at), "size", "below")
+        is_cut = F.col(at) % 2 == 1
+        out = out.withColumn("_deal", F.when(is_cut, F.pmod("_number", F.lit(CUTS))).otherwise(F.lit(0)))
+        inside = Window.partitionBy(group, at, "_deal")
+        ties = F.count(F.lit(1)).over(Window.partitionBy(group, at, "_deal", v))
+        out = out.withColumns({"_before": F.rank().over(inside.orderBy(v)), "_ties": ties}).join(own, [group, at], "left")
+        ranged = F.coalesce("below", F.lit(0)) + F.col("_before") + (F.col("_ties") - 1) / 2.0
+        rank = F.when(is_cut, F.col("below") + (F.col("size") + 1) / 2.0).otherwise(ranged)
+        out = out.withColumn(f"{v}_rank", rank).drop("_deal", "_before", "_ties", "size", "below", at)
+    return out.drop("_number")

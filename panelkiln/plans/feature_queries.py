@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelkiln.functions import dates, frames, text
-from panelkiln.functions.numeric import growth, number
+from panelkiln.functions.numeric import fill_zero, growth, number
 from panelkiln.operators import earnings as earnings_ops
-from panelkiln.operators import feature_store, labels, news, price_features
+from panelkiln.operators import feature_store, incremental, labels, news, price_features
 from panelkiln.operators.rows import attach_daily
 from panelkiln.operators.universe import static_spans
 from panelkiln.plans import adapters as a
 from panelkiln.plans import sql_parts as s
 from panelkiln.plans.registry import counted, query, rounded
+from panelkiln.session import fresh_folder
+from panelkiln.sources import panels
 
 LOOKBACKS = (1, 5, 20, 60, 120)
 FEATURE_COLUMNS = [f"ret_{k}d" for k in LOOKBACKS] + [
@@ -179,6 +181,46 @@ def _features_with_earnings(spark, sf_dir):
     return rounded(joined)
 
 
+@query(
+    "s02_features_laid_out_by_symbol",
+    f"""WITH {s.BARS}, {s.features([1, 5, 20])}, {s.labels(5)}, {EARNINGS_SQL}
+    SELECT decision_date, symbol, {r6('ret_1d', 'ret_5d', 'ret_20d', 'vol_20d', 'corr_mkt_20d')}, {r6('future_return_5d')}, label_date,
+      coalesce(earnings_event, 0.0) AS earnings_event, round(coalesce(eps_surprise, 0.0), 6) + 0.0 AS eps_surprise
+    FROM feats JOIN labels_h USING (decision_date, symbol) LEFT JOIN events_e USING (decision_date, symbol)""",
+)
+def _features_laid_out_by_symbol(spark, sf_dir):
+    """Features, labels and earnings from two panels that are stored by symbol: no exchange by symbol after the write."""
+    paths = [fresh_folder(spark, "panel") for _ in range(2)]
+    panels.write_panel(a.landed_bars(spark, sf_dir), paths[0], buckets=16)
+    panels.write_panel(earnings_ops.earnings_events(a.earnings(spark, sf_dir), shift_days=1), paths[1], buckets=16, sort_by=["decision_date"])
+    bars, events = (panels.attach_panel(spark, path) for path in paths)
+    features = price_features.build_price_features(bars, lookbacks=(1, 5, 20), label_horizon=5)
+    joined = fill_zero(panels.with_daily_events(features, events), ["earnings_event", "eps_surprise"])
+    return rounded(
+        joined.select(
+            "decision_date", "symbol", "ret_1d", "ret_5d", "ret_20d", "vol_20d", "corr_mkt_20d", "future_return_5d", "label_date",
+            "earnings_event", "eps_surprise",
+        )
+    )
+
+
+@query(
+    "s09_incremental_price_features",
+    f"WITH {s.BARS}, {s.features(list(LOOKBACKS))} SELECT decision_date, symbol, "
+    f"{r6(*[c for c in FEATURE_COLUMNS if c != 'adv20_dollar'])}, round(ln(adv20_dollar), 6) + 0.0 AS ln_adv20_dollar, "
+    "feature_available_date FROM feats",
+)
+def _incremental_price_features(spark, sf_dir):
+    """Features of a store that got its bars in four lots; the last has bars that come half a year late."""
+    bars, (prices, store) = a.landed_bars(spark, sf_dir), [fresh_folder(spark, n) for n in ("prices", "features")]
+    day = F.col("date")
+    late = (F.pmod(F.xxhash64("symbol"), F.lit(5)) == 0) & day.between("1997-11-10", "1997-12-20")
+    lots = [(day < "1997-06-01"), day.between("1997-06-01", "1998-05-31") & ~late, (day >= "1998-06-01") & (day < "1998-06-20"), (day >= "1998-06-20") | late]
+    for lot in lots:
+        incremental.add_bars(spark, bars.where(lot), prices, store, lookbacks=LOOKBACKS)
+    return rounded(incremental.stored_features(spark, store).withColumn("ln_adv20_dollar", F.ln("adv20_dollar")).drop("adv20_dollar"))
+
+
 def _days(spark, sf_dir):
     """First and last bar of the test data."""
     span = a.table(spark, sf_dir, "lineitem").agg(

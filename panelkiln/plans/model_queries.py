@@ -58,13 +58,27 @@ def _boosted_trees(spark, sf_dir):
     return rounded(counts.select("*", baseline.scalar().alias("mean_mse"), best.alias("ends_at_best")))
 
 
+LINEAR_SQL = f"""{LAST_FOLD_SQL.replace("fold1 AS (", "fold1 AS MATERIALIZED (")}, {s.BARS}, {s.features([1, 5])}, {s.labels(5)},
+    panel AS MATERIALIZED (SELECT decision_date, symbol, ret_5d, ln(1 + future_return_5d) AS y, part FROM feats JOIN labels_h USING (decision_date, symbol)
+      JOIN fold1 ON date = decision_date WHERE ret_5d IS NOT NULL),
+    fit AS MATERIALIZED (SELECT regr_slope(y, ret_5d) AS b, regr_intercept(y, ret_5d) AS c, count(*) AS n FROM panel WHERE part = 'train')"""
+
+
+@query("m02_linear_coefficients", f"WITH {LINEAR_SQL} SELECT n AS train_rows, round(b, 6) + 0.0 AS slope, round(c, 6) + 0.0 AS intercept FROM fit")
+def _linear_coefficients(spark, sf_dir):
+    """The line that training rows give, by itself."""
+    panel, fold = model_panel(spark, sf_dir), _last_fold(spark, sf_dir)
+    rows = stored(models.training_rows(panel, fold, ["ret_5d"], TARGET), "training")
+    line = models.fit_linear(rows, ["ret_5d"]).stages[-1]
+    counts = rows.agg(F.count_if(~F.col("is_val")).alias("train_rows"))
+    return rounded(counts.withColumns({"slope": F.lit(float(line.coefficients[0])), "intercept": F.lit(float(line.intercept))}))
+
+
 @query(
     "m02_m03_linear_scores",
-    f"""WITH {LAST_FOLD_SQL}, {s.BARS}, {s.features([1, 5])}, {s.labels(5)},
-    panel AS (SELECT decision_date, symbol, ret_5d, ln(1 + future_return_5d) AS y, part FROM feats JOIN labels_h USING (decision_date, symbol)
-      JOIN fold1 ON date = decision_date WHERE ret_5d IS NOT NULL),
-    fit AS (SELECT regr_slope(y, ret_5d) AS b, regr_intercept(y, ret_5d) AS c FROM panel WHERE part = 'train')
-    SELECT 'linear' AS model_name, part AS split, decision_date, symbol, round(y, 6) + 0.0 AS y_true, round(c + b * ret_5d, 6) + 0.0 AS y_pred FROM panel, fit""",
+    f"""WITH {LINEAR_SQL}
+    SELECT 'linear' AS model_name, part AS split, decision_date, symbol, round(y, 6) + 0.0 AS y_true,
+      round((SELECT c FROM fit) + (SELECT b FROM fit) * ret_5d, 6) + 0.0 AS y_pred FROM panel""",
 )
 def _linear_scores(spark, sf_dir):
     panel, fold = model_panel(spark, sf_dir), _last_fold(spark, sf_dir)

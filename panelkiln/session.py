@@ -69,6 +69,13 @@ def delete_folder(spark: SparkSession, path: str) -> bool:
     return bool(place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True))
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder, in whatever store it is in; none where there is no folder."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [status.getPath().getName() for status in system.listStatus(place)] if system.exists(place) else []
+
+
 def stored(df: DataFrame, label: str = "stored") -> DataFrame:
     """The same rows, computed once and read from a table in the shared folder afterwards.
 

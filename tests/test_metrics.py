@@ -5,6 +5,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
+from panelkiln import session
 from panelkiln.operators import metrics, rows as row_ops
 
 SCHEMA = "decision_date date, symbol string, y_pred double, y_true double"
@@ -52,8 +53,8 @@ def test_rank_ic_in_one_range_and_in_many_agree(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     want = expected(rows, "spearman")
     compare(metrics.daily_rank_ic(df), want)
-    compare(metrics.daily_rank_ic(df, buckets=1), want)
-    compare(metrics.daily_rank_ic(df, buckets=3), want)
+    compare(metrics.daily_rank_ic(df, range_rows=1), want)
+    compare(metrics.daily_rank_ic(df, range_rows=3), want)
 
 
 def test_one_day_with_all_rows_is_split(spark):
@@ -71,6 +72,25 @@ def test_spread_ranks_split_a_hot_group(spark):
     assert got == {float(i): 2 * i + 1.5 for i in range(1000)}
 
 
+def test_ranks_of_hot_groups_and_hot_ties(spark):
+    """A value that a third of the rows share, identical rows, small groups: the same ranks wherever the cuts fall."""
+    rng = np.random.default_rng(5)
+    rows = [("hot", float(v), float(w)) for v, w in zip(rng.integers(0, 60, 900), rng.normal(size=900))]
+    rows += [("hot", 7.0, 0.5)] * 600 + [("small", 1.0, 2.0), ("small", 1.0, 1.0), ("small", 0.0, 3.0), ("one", 4.0, 4.0)]
+    df = session.stored(spark.createDataFrame(rows, "g string, v double, w double").repartition(3))
+    for range_rows in (1, 40, 500, 50_000):
+        got = {}
+        for r in row_ops.with_ranks(df, "g", ["v", "w"], range_rows).collect():
+            got.setdefault(r.g, []).append((r.v, r.w, r.v_rank, r.w_rank, r.group_size))
+        for g, mine in got.items():
+            own = [(v, w) for k, v, w in rows if k == g]
+            assert len(mine) == len(own) and {m[4] for m in mine} == {len(own)}
+            for at in (0, 1):
+                every = np.array([x[at] for x in own])
+                for m in mine:
+                    assert m[2 + at] == (every < m[at]).sum() + ((every == m[at]).sum() + 1) / 2
+
+
 def test_evaluation_by_model_and_split(spark):
     rows = predictions()
     df = spark.createDataFrame(rows, SCHEMA).withColumn("model_name", F.lit("m")).withColumn(
