@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 from panelkiln.functions import dates, frames, text
 from panelkiln.functions.numeric import fill_zero, growth, number
 from panelkiln.operators import earnings as earnings_ops
-from panelkiln.operators import feature_store, incremental, labels, news, price_features
+from panelkiln.operators import asof, feature_store, incremental, labels, news, price_features
 from panelkiln.operators.rows import attach_daily
 from panelkiln.operators.universe import static_spans
 from panelkiln.plans import adapters as a
 from panelkiln.plans import sql_parts as s
 from panelkiln.plans.registry import counted, query, rounded
 from panelkiln.session import fresh_folder
-from panelkiln.sources import panels
+from panelkiln.sources import panels, store
 
 LOOKBACKS = (1, 5, 20, 60, 120)
 FEATURE_COLUMNS = [f"ret_{k}d" for k in LOOKBACKS] + [
@@ -221,6 +221,35 @@ def _incremental_price_features(spark, sf_dir):
     return rounded(incremental.stored_features(spark, store).withColumn("ln_adv20_dollar", F.ln("adv20_dollar")).drop("adv20_dollar"))
 
 
+STATEMENTS = {"revenue": ("income", "revenue"), "assets": ("balance", "assets"), "debt": ("balance", "debt")}
+
+
+@query(
+    "j07_statements_as_of",
+    f"""WITH {s.BARS},
+    st AS (SELECT CAST(l_suppkey AS VARCHAR) AS symbol, {s.bday('CAST(l_shipdate AS DATE)', 2)} AS known_from, l_returnflag AS flag,
+      l_extendedprice AS price, CASE WHEN l_quantity > 5 THEN l_quantity END AS quantity, l_tax AS tax FROM lineitem WHERE l_linenumber = 1),
+    income AS (SELECT symbol, known_from, max(price) AS revenue FROM st WHERE flag = 'A' GROUP BY ALL),
+    balance AS (SELECT symbol, known_from, max(ROW(coalesce(quantity, -1), tax)) AS r FROM st WHERE flag = 'R' GROUP BY ALL)
+    SELECT b.symbol, b.date AS decision_date, round(i.revenue, 2) + 0.0 AS revenue, CASE WHEN c.r[1] >= 0 THEN round(c.r[1], 2) + 0.0 END AS assets,
+      round(c.r[2], 2) + 0.0 AS debt, date_diff('day', greatest(i.known_from, c.known_from), b.date)::INTEGER AS statement_age
+    FROM bars b ASOF LEFT JOIN income i ON b.symbol = i.symbol AND b.date >= i.known_from ASOF LEFT JOIN balance c ON b.symbol = c.symbol AND b.date >= c.known_from""",
+)
+def _statements_as_of(spark, sf_dir):
+    """Bars with the figures of the last statements published two business days before or earlier."""
+    lines = a.table(spark, sf_dir, "lineitem").filter("l_linenumber = 1").withColumn("symbol", F.col("l_suppkey").cast("string"))
+
+    def of(flag, *columns):
+        return lines.filter(F.col("l_returnflag") == flag).select("symbol", F.col("l_shipdate").alias("fillingDate"), *columns)
+
+    assets = F.when(F.col("l_quantity") > 5, F.col("l_quantity")).alias("assets")
+    statements = store.tag_and_stack(
+        {"income": of("A", F.col("l_extendedprice").alias("revenue")), "balance": of("R", assets, F.col("l_tax").alias("debt"))}
+    )
+    panel = a.landed_bars(spark, sf_dir).select("symbol", F.col("date").alias("decision_date"))
+    return rounded(asof.with_statements(panel, statements, STATEMENTS, shift_days=2), 2)
+
+
 def _days(spark, sf_dir):
     """First and last bar of the test data."""
     span = a.table(spark, sf_dir, "lineitem").agg(
