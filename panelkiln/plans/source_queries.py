@@ -12,10 +12,10 @@ from panelkiln.operators.rows import keep_first, keep_last, stack
 from panelkiln.plans import adapters as a
 from panelkiln.plans import sql_parts as s
 from panelkiln.plans.registry import counted, query, rounded
-from panelkiln.session import fresh_folder
+from panelkiln.session import fresh_folder, stored
 from panelkiln.sources import landing, news, store
 from panelkiln.sources.tables import optional_table, read_table, with_month, write_table
-from panelkiln.streaming import refresh
+from panelkiln.streaming import news as news_stream, refresh
 
 ROUNDED = "symbol, date, " + ", ".join(
     f"round(ln({c}), 6) + 0.0 AS {c}" for c in ("open", "high", "low", "close", "adj_close")
@@ -393,3 +393,41 @@ def _article_stream(spark, sf_dir):
     keys = ["user_id", "day", "event_type"]
     refresh.land_stream(stream, path, checkpoint, keys, day="day").awaitTermination()
     return read_table(spark, path).groupBy("user_id", "day", "event_type").agg(counted("n"))
+
+
+def late_and_counted(spark, late, days):
+    """Articles by day and source: those on the side table, each once, and those counted."""
+    aside = read_table(spark, late).select("article", F.to_date("published").alias("day"), "source").distinct()
+    aside = aside.groupBy("day", "source").agg(counted("n")).select(F.lit("late").alias("kind"), "day", "source", "n")
+    return aside.unionByName(days.groupBy("day", "source").agg(F.sum("articles").alias("n")).withColumn("kind", F.lit("counted")))
+
+
+FEED_BATCHES = 6
+
+
+@query(
+    "x02_news_counts_in_state",
+    f"""WITH span AS (SELECT min(ts) AS a, max(ts) AS z FROM events),
+    e AS (SELECT ts, CAST(ts AS DATE) AS day, coalesce(json_extract_string(props, '$.k'), 'unknown') AS source,
+      least({FEED_BATCHES - 1}, {FEED_BATCHES} * date_diff('day', CAST(a AS DATE), CAST(ts AS DATE)) // (date_diff('day', CAST(a AS DATE), CAST(z AS DATE)) + 1)
+        + CASE WHEN event_id % 10 = 0 THEN 1 ELSE 0 END) AS b FROM events, span),
+    m AS (SELECT b, max(ts) AS latest FROM e GROUP BY b),
+    w AS (SELECT b, max(latest) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 1 DAY AS bound FROM m),
+    judged AS (SELECT e.*, coalesce(ts <= bound, false) AS late FROM e JOIN w USING (b)),
+    ended AS (SELECT CAST(max(ts) - INTERVAL 1 DAY AS DATE) AS open_day FROM e)
+    SELECT 'late' AS kind, day, source, count(*) AS n FROM judged WHERE late GROUP BY ALL
+    UNION ALL SELECT 'counted', day, source, count(*) FROM judged, ended WHERE NOT late AND day < open_day GROUP BY ALL""",
+)
+def _news_counts_in_state(spark, sf_dir):
+    """Articles of each day and source counted in state, and those that came over a day late; a tenth comes one batch later, purchases twice."""
+    feed, folder = fresh_folder(spark, "feed"), fresh_folder(spark, "news")
+    events = a.table(spark, sf_dir, "events")
+    span = events.agg(F.to_date(F.min("ts")).alias("a"), F.to_date(F.max("ts")).alias("z")).first()
+    days = (span["z"] - span["a"]).days + 1 if span["a"] else 1
+    number = F.floor(FEED_BATCHES * F.datediff("ts", F.lit(span["a"])) / days) + F.when(F.col("event_id") % 10 == 0, 1).otherwise(0)
+    news = events.select("event_id", "event_type", F.col("ts").cast("string").alias("publishedDate"), F.get_json_object("props", "$.k").alias("site"), F.least(F.lit(FEED_BATCHES - 1), number).alias("b"))
+    news = stored(news.union(news.where("event_type = 'purchase'")), "articles")
+    for b in range(FEED_BATCHES):
+        news.where(F.col("b") == b).coalesce(1).write.mode("append").parquet(feed)
+    news_stream.refresh_news(spark, refresh.parquet_stream(spark, feed, files_per_batch=1), folder, ["event_id"], delay="1 day")
+    return late_and_counted(spark, f"{folder}/late", read_table(spark, f"{folder}/counts").withColumnRenamed("event_date", "day"))

@@ -76,6 +76,16 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in system.listStatus(place)] if system.exists(place) else []
 
 
+def rename_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Give a whole folder its final name at once, so that readers see all of it or nothing."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(source)
+    goal = spark._jvm.org.apache.hadoop.fs.Path(target)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(goal.getParent())
+    if not system.rename(place, goal):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
 def stored(df: DataFrame, label: str = "stored") -> DataFrame:
     """The same rows, computed once and read from a table in the shared folder afterwards.
 
