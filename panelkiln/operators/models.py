@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date
+from functools import reduce
 
+from pyspark import SparkContext, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.regression import GBTRegressionModel, LinearRegression, RandomForestRegressor
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelkiln.functions.numeric import all_finite, all_present
 from panelkiln.operators import folds, portfolio
 from panelkiln.operators.folds import tag_parts
 from panelkiln.operators.metrics import evaluate_predictions, mean_squared_error
 from panelkiln.operators.sweep import candidate_score, run_gate
-from panelkiln.session import stored
+from panelkiln.session import Scratch, stored
 
 KEY = ["decision_date", "symbol"]
 COST_COLUMNS = ("adv20_dollar", "vol_20d")
@@ -49,9 +52,23 @@ def _fit(learner, rows: DataFrame, features: Sequence[str]) -> PipelineModel:
     return Pipeline(stages=[assembler, learner]).fit(rows)
 
 
-#: Trees in a row without a better validation error after which boosting ends, and trees of the first attempt.
+#: Trees in a row without a better validation error after which boosting ends, and trees between two looks at it.
 PATIENCE = 50
-FIRST = 100
+BLOCK = 10
+
+
+def _model_of(trees: Sequence, weights: Sequence[float], n_features: int) -> GBTRegressionModel:
+    """An ensemble of trees that were fitted one by one, as Spark's own model, so that it is saved, loaded and evaluated as such."""
+    gateway = SparkContext._active_spark_context._gateway
+    java = gateway.jvm.org.apache.spark.ml
+    array = gateway.new_array(java.regression.DecisionTreeRegressionModel, len(trees))
+    numbers = gateway.new_array(gateway.jvm.double, len(trees))
+    for i, (tree, weight) in enumerate(zip(trees, weights)):
+        array[i], numbers[i] = tree._java_obj, float(weight)
+    model = java.regression.GBTRegressionModel(java.util.Identifiable.randomUID("gbtr"), array, numbers, n_features)
+    for name, value in (("featuresCol", "inputs"), ("labelCol", "y_true"), ("predictionCol", "y_pred")):
+        model.set(model.getParam(name), value)
+    return GBTRegressionModel(model)
 
 
 def fit_boosted_trees(
@@ -61,37 +78,51 @@ def fit_boosted_trees(
     params: Mapping | None = None,
     seed: int = 42,
     patience: int = PATIENCE,
-    first: int = FIRST,
+    block: int = BLOCK,
 ) -> PipelineModel:
     """Boosted regression trees on the training rows, cut at the tree with the least validation error.
 
-    The error after every tree is taken on the validation rows. If the best
-    tree is among the last ``patience`` ones, twice as many are grown, up to
-    ``maxIter``: trees depend on the seed and their number in the row, so a
-    longer fit starts with the same trees. Without validation rows all
-    ``maxIter`` trees stay. ``rows`` are read often and should be a stored table.
+    Every tree is fitted once, to what the trees before it leave (for the first one, the target itself; for others the gradient of the
+    squared error, taken by ``stepSize``). After each ``block`` of trees the predictions so far are stored beside
+    the rows, and the validation error after every one of them is taken in one pass; boosting ends once the best tree lies
+    ``patience`` trees back, or with ``maxIter``. The model is the trees up to the best one. Without validation rows
+    all ``maxIter`` trees stay. At any time one stored copy of the inputs is held, and no more than a block of trees is applied in a pass.
     """
     settings = {**GBT_PARAMS, **(params or {})}
-    most = settings.pop("maxIter")
+    most, step = settings.pop("maxIter"), settings.pop("stepSize")
     assembler = VectorAssembler(inputCols=list(features), outputCol="inputs")
-    data = assembler.transform(rows)
-    train, val = data.filter(~F.col("is_val")), data.filter("is_val")
-
-    def grown(n: int):
-        learner = GBTRegressor(featuresCol="inputs", labelCol="y_true", predictionCol="y_pred", seed=seed, maxIter=n)
-        return learner.setParams(**settings).fit(train)
-
-    if val.isEmpty():
-        return PipelineModel([assembler, grown(most)])
-    n = min(first, most)
-    while True:
-        model = grown(n)
-        errors = model.evaluateEachIteration(val, "squared")
-        best = errors.index(min(errors)) + 1
-        if n == most or n - best >= patience:
-            break
-        n = min(2 * n, most)
-    return PipelineModel([assembler, model if best == n else grown(best)])
+    data = assembler.transform(rows).select("inputs", "y_true", "is_val", F.lit(0.0).alias("margin"))
+    held = Scratch(rows.sparkSession)
+    data = held.stored(data, "boosting")
+    has_validation = not data.filter("is_val").isEmpty()
+    trees, errors = [], []
+
+    def weight(k: int) -> float:
+        return step if k else 1.0
+
+    while len(trees) < most:
+        margins, own, start = [F.col("margin")], data, len(trees)
+        for k in range(start, min(start + block, most)):
+            rest = F.col("y_true") - margins[-1]
+            target = own.filter(~F.col("is_val")).withColumn("rest", rest * F.lit(2.0 if k else 1.0))
+            learner = RandomForestRegressor(featuresCol="inputs", labelCol="rest", predictionCol=f"tree_{k}", numTrees=1, bootstrap=False, seed=seed + k)
+            tree = learner.setParams(**settings).fit(target.select("inputs", "rest")).trees[0]
+            trees.append(tree.setFeaturesCol("inputs").setPredictionCol(f"tree_{k}"))
+            own = tree.transform(own)
+            margins.append(margins[-1] + F.col(f"tree_{k}") * F.lit(weight(k)))
+        following = Scratch(rows.sparkSession)
+        if has_validation:
+            sums = [F.avg(F.pow(F.col("y_true") - m, 2)) for m in margins[1:]]
+            errors += own.filter("is_val").agg(*sums).first()
+            if len(trees) - (errors.index(min(errors)) + 1) >= patience:
+                break
+        if len(trees) < most:
+            data = following.stored(own.select("inputs", "y_true", "is_val", margins[-1].alias("margin")), "boosting")
+        held.clear()
+        held = following
+    held.clear()
+    best = errors.index(min(errors)) + 1 if errors else len(trees)
+    return PipelineModel([assembler, _model_of(trees[:best], [weight(k) for k in range(best)], len(features))])
 
 
 def fit_linear(rows: DataFrame, features: Sequence[str]) -> PipelineModel:
@@ -127,6 +158,29 @@ def load(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+#: Candidates whose jobs are in flight at once.
+PARALLEL = 4
+
+
+def side_by_side(spark: SparkSession, run: Callable, items: Iterable, parallel: int = PARALLEL) -> list:
+    """``run`` of each item, ``parallel`` at a time, each in a scheduler pool of its own; results in the order of the items.
+
+    One fit leaves the cluster idle between its many short jobs, which those of others fill. With
+    ``spark.scheduler.mode`` FAIR the pools share it evenly, with FIFO the earlier jobs go first. The first error is raised.
+    """
+
+    def pooled(number: int, item):
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"candidate-{number % parallel}")
+        try:
+            return run(item)
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(pooled), i, item) for i, item in enumerate(items)]
+        return [s.result() for s in started]
+
+
 def sweep(
     rows: DataFrame,
     features: Sequence[str],
@@ -134,19 +188,22 @@ def sweep(
     *,
     seed: int = 42,
     patience: int = PATIENCE,
+    parallel: int = PARALLEL,
 ) -> DataFrame:
-    """Validation error per candidate setting: (name, val_mse).
+    """Validation error per candidate setting: (name, val_mse), in the order of the candidates.
 
-    The loop runs over candidates, not data; each fit is distributed.
+    The loop runs over candidates, not data; each fit is distributed, and ``parallel`` of them are in flight.
     """
-    results = None
-    for name, params in candidates:
+
+    def run(candidate: tuple[str, Mapping]) -> DataFrame:
+        name, params = candidate
         model = fit_boosted_trees(rows, features, params=params, seed=seed, patience=patience)
-        row = validation_error(model, rows).select(F.lit(name).alias("name"), F.col("mse").alias("val_mse"))
-        results = row if results is None else results.unionByName(row)
-    if results is None:
+        return stored(validation_error(model, rows).select(F.lit(name).alias("name"), F.col("mse").alias("val_mse")), "errors")
+
+    results = side_by_side(rows.sparkSession, run, candidates, parallel)
+    if not results:
         raise ValueError("no candidates")
-    return results
+    return reduce(DataFrame.unionByName, results)
 
 
 @dataclass(frozen=True)
@@ -171,7 +228,8 @@ def candidate_runs(
     limits: Mapping[str, float | None] | None = None,
     seed: int = 42,
     patience: int = PATIENCE,
-    first: int = FIRST,
+    block: int = BLOCK,
+    parallel: int = PARALLEL,
 ) -> DataFrame:
     """One row per (end_date, name): test rows, rank IC, IC, portfolio figures, score and gate.
 
@@ -179,9 +237,9 @@ def candidate_runs(
     date, as if later rows did not exist yet. ``panel`` (features and target) is
     read often and should be a stored table. The rows feed ``sweep.best_reruns``,
     ``summarize_runs``, ``best_candidate`` and ``best_run``. The loop runs
-    over settings, not data. A period with too few days gives an error.
+    over settings, not data, ``parallel`` of them side by side; rows come in the order of dates and candidates. A period with too few days gives an error.
     """
-    runs = None
+    cuts = []
     for end in end_dates:
         known = panel.filter(F.col("decision_date") <= F.lit(end))
         cut = folds.purge_and_embargo(
@@ -191,21 +249,26 @@ def candidate_runs(
         fold = stored(folds.last_fold(cut), "fold")
         if fold.isEmpty():
             raise ValueError(f"not enough days for a fold by {end}")
-        for c in candidates:
-            rows = stored(training_rows(known, fold, c.features, target), "training")
-            model = fit_boosted_trees(rows, c.features, params=c.params, seed=seed, patience=patience, first=first)
-            test = stored(score(model, known, fold, c.features, target, c.name).filter("split = 'test'"), "scores")
-            daily, _ = portfolio.run_portfolio(test, rules)
-            quality = evaluate_predictions(test).groupBy("model_name").agg(
-                F.max(F.when(F.col("kind") == "rank_ic", F.col("mean"))).alias("rank_ic"),
-                F.max(F.when(F.col("kind") == "ic", F.col("mean"))).alias("ic_test_mean"),
-            )
-            counted = test.groupBy("model_name").agg(F.count(F.lit(1)).alias("test_rows"))
-            figures = portfolio.portfolio_summary(daily).withColumn("model_name", F.lit(c.name))
-            row = counted.join(quality, "model_name", "left").join(figures, "model_name", "left")
-            row = row.withColumnRenamed("model_name", "name").withColumn("end_date", F.lit(end))
-            runs = row if runs is None else runs.unionByName(row)
-    if runs is None:
+        cuts.append((end, known, fold))
+
+    def run(task: tuple) -> DataFrame:
+        (end, known, fold), c = task
+        rows = stored(training_rows(known, fold, c.features, target), "training")
+        model = fit_boosted_trees(rows, c.features, params=c.params, seed=seed, patience=patience, block=block)
+        test = stored(score(model, known, fold, c.features, target, c.name).filter("split = 'test'"), "scores")
+        daily, _ = portfolio.run_portfolio(test, rules)
+        quality = evaluate_predictions(test).groupBy("model_name").agg(
+            F.max(F.when(F.col("kind") == "rank_ic", F.col("mean"))).alias("rank_ic"),
+            F.max(F.when(F.col("kind") == "ic", F.col("mean"))).alias("ic_test_mean"),
+        )
+        counted = test.groupBy("model_name").agg(F.count(F.lit(1)).alias("test_rows"))
+        figures = portfolio.portfolio_summary(daily).withColumn("model_name", F.lit(c.name))
+        row = counted.join(quality, "model_name", "left").join(figures, "model_name", "left")
+        return stored(row.withColumnRenamed("model_name", "name").withColumn("end_date", F.lit(end)), "run")
+
+    results = side_by_side(panel.sparkSession, run, [(cut, c) for cut in cuts for c in candidates], parallel)
+    if not results:
         raise ValueError("no candidates or no end dates")
+    runs = reduce(DataFrame.unionByName, results)
     gated = run_gate(runs.withColumn("score", candidate_score()), **({} if limits is None else {"limits": limits}))
     return gated.withColumns({"ops_gate_ok": F.col("gate_ok"), "rank_ic_test_mean": F.col("rank_ic")})

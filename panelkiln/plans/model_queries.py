@@ -17,6 +17,7 @@ FEATURES = ["ret_1d", "ret_5d", "vol_20d", "range_20d", "volume_z_20d"]
 TARGET = "log_return"
 TREES = {"maxIter": 24, "maxDepth": 3}
 PATIENCE = 8
+BLOCK = 6
 
 #: The last fold's panel rows that have all inputs, and those among them that have a finite target.
 PANEL_SQL = f"""{LAST_FOLD_SQL}, {s.BARS}, {s.features([1, 5])}, {s.labels(5)},
@@ -48,7 +49,7 @@ def _boosted_trees(spark, sf_dir):
     """
     panel, fold = model_panel(spark, sf_dir), _last_fold(spark, sf_dir)
     rows = stored(models.training_rows(panel, fold, FEATURES, TARGET), "training")
-    model = models.fit_boosted_trees(rows, FEATURES, params=TREES, patience=PATIENCE, first=TREES["maxIter"])
+    model = models.fit_boosted_trees(rows, FEATURES, params=TREES, patience=PATIENCE, block=BLOCK)
     mean = rows.filter("NOT is_val").agg(F.avg("y_true")).scalar()
     baseline = metrics.mean_squared_error(rows.filter("is_val").withColumn("y_pred", mean))
     counts = rows.agg(F.count_if(~F.col("is_val")).alias("train_rows"), F.count_if("is_val").alias("val_rows"))
@@ -96,7 +97,7 @@ def _saved_model_scores(spark, sf_dir):
     panel, fold = model_panel(spark, sf_dir), _last_fold(spark, sf_dir)
     rows = stored(models.training_rows(panel, fold, FEATURES, TARGET), "training")
     path = fresh_folder(spark, "model")
-    model = models.fit_boosted_trees(rows, FEATURES, params=TREES, patience=PATIENCE, first=TREES["maxIter"])
+    model = models.fit_boosted_trees(rows, FEATURES, params=TREES, patience=PATIENCE, block=BLOCK)
     models.save(model, path)
     before = models.score(model, panel, fold, FEATURES, TARGET, "boosted_trees")
     after = models.score(models.load(path), panel, fold, FEATURES, TARGET, "boosted_trees")
@@ -129,7 +130,7 @@ def _candidate_sweep(spark, sf_dir):
     panel = model_panel(spark, sf_dir)
     runs = models.candidate_runs(
         panel, TARGET, CANDIDATES, END_DATES, fold_sizes={**SIZES, "step": 63}, purge=20, embargo=5,
-        rules=portfolio.PortfolioRules(topn=3, max_names=3), patience=2, first=4,
+        rules=portfolio.PortfolioRules(topn=3, max_names=3), patience=2, block=2,
     )
     present = [F.col(c).isNotNull() for c in ("rank_ic", "sharpe", "total_return", "max_drawdown", "score", "gate_ok")]
     return runs.select("end_date", "name", "test_rows", reduce(lambda x, y: x & y, present).alias("has_figures"))

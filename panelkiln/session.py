@@ -92,7 +92,10 @@ def stored(df: DataFrame, label: str = "stored") -> DataFrame:
     For results that a plan needs several times: Spark would otherwise compute
     them once per use. A lost executor costs nothing, as the table outlives it.
     """
-    path = fresh_folder(df.sparkSession, label)
+    return _stored_at(df, fresh_folder(df.sparkSession, label))
+
+
+def _stored_at(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -108,10 +111,8 @@ class Scratch:
         self.spark, self.paths = spark, []
 
     def stored(self, df: DataFrame, label: str = "scratch") -> DataFrame:
-        before = len(_MADE)
-        table = stored(df, label)
-        self.paths += _MADE[before:]
-        return table
+        self.paths.append(fresh_folder(self.spark, label))
+        return _stored_at(df, self.paths[-1])
 
     def clear(self) -> None:
         for path in self.paths:

@@ -1,4 +1,6 @@
 import pytest
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 from panelkiln.operators import folds, metrics, models, sweep
@@ -100,20 +102,65 @@ def test_trees_beat_the_mean_and_survive_saving(spark, fitted):
 def test_small_targets_get_more_than_one_tree_and_the_best_is_kept(fitted):
     _, _, rows = fitted
     small = rows.withColumn("y_true", F.col("y_true") / 100).cache()
-    model = models.fit_boosted_trees(small, ["x"], params={"maxIter": 12, "maxDepth": 3, "stepSize": 0.3}, patience=3, first=4)
+    model = models.fit_boosted_trees(small, ["x"], params={"maxIter": 12, "maxDepth": 3, "stepSize": 0.3}, patience=3, block=4)
     assert model.stages[-1].getNumTrees > 1
     noise = small.withColumn("y_true", F.when(F.col("is_val"), -F.col("y_true")).otherwise(F.col("y_true"))).cache()
-    model = models.fit_boosted_trees(noise, ["x"], params={"maxIter": 12, "maxDepth": 3}, patience=3, first=4)
+    model = models.fit_boosted_trees(noise, ["x"], params={"maxIter": 12, "maxDepth": 3}, patience=3, block=4)
     assert model.stages[-1].getNumTrees == 1
 
 
+def test_blocks_give_the_trees_of_one_fit(fitted):
+    """However the trees are blocked, and no worse than Spark's own boosting of as many trees."""
+    _, _, rows = fitted
+    params = {"maxIter": 9, "maxDepth": 3, "subsamplingRate": 1.0, "featureSubsetStrategy": "all", "stepSize": 0.3}
+    errors = [models.validation_error(models.fit_boosted_trees(rows, ["x", "z"], params=params, block=b), rows).first()[0] for b in (1, 4, 20)]
+    assert max(errors) - min(errors) < 1e-12
+    data = VectorAssembler(inputCols=["x", "z"], outputCol="inputs").transform(rows)
+    own = GBTRegressor(featuresCol="inputs", labelCol="y_true", predictionCol="y_pred", maxIter=9, maxDepth=3, stepSize=0.3, minInstancesPerNode=20, seed=42)
+    trees = own.fit(data.where("NOT is_val"))
+    least = min(trees.evaluateEachIteration(data.where("is_val"), "squared"))
+    assert errors[0] <= 1.01 * least
+
+
+def test_each_tree_is_fitted_once(fitted, monkeypatch):
+    _, _, rows = fitted
+    fits = []
+    fit = models.RandomForestRegressor.fit
+    monkeypatch.setattr(models.RandomForestRegressor, "fit", lambda self, data: fits.append(1) or fit(self, data))
+    noise = rows.withColumn("y_true", F.when(F.col("is_val"), -F.col("y_true")).otherwise(F.col("y_true")))
+    model = models.fit_boosted_trees(noise, ["x"], params={"maxIter": 40, "maxDepth": 2}, patience=5, block=3)
+    assert len(fits) == 6 and model.stages[-1].getNumTrees == 1
+    fits.clear()
+    model = models.fit_boosted_trees(rows.where("NOT is_val"), ["x"], params={"maxIter": 5, "maxDepth": 2}, patience=1, block=2)
+    assert len(fits) == 5 == model.stages[-1].getNumTrees
+
+
+def test_side_by_side_keeps_the_order_and_raises(spark):
+    import threading
+    import time
+
+    seen = []
+
+    def run(i):
+        seen.append((threading.get_ident(), spark.sparkContext.getLocalProperty("spark.scheduler.pool")))
+        time.sleep(0.3 - i / 20)
+        if i == 5:
+            raise ValueError("five")
+        return spark.range(i).count()
+
+    assert models.side_by_side(spark, run, range(5), 4) == list(range(5))
+    assert len({t for t, _ in seen}) > 1 and {p for _, p in seen} == {f"candidate-{i}" for i in range(4)}
+    with pytest.raises(ValueError, match="five"):
+        models.side_by_side(spark, run, range(6), 3)
+
+
 def test_candidates_over_end_dates_feed_the_summary(fitted):
     panel, _, _ = fitted
     days = sorted(r[0] for r in panel.select("decision_date").distinct().collect())
     candidates = [models.Candidate("x", ["x"], {"maxIter": 4, "maxDepth": 2}), models.Candidate("z", ["z"], {"maxIter": 2, "maxDepth": 1})]
     sizes = {"train": 40, "val": 15, "test": 15, "step": 5}
     runs = models.candidate_runs(
-        panel, "y", candidates, [days[80], days[99]], fold_sizes=sizes, patience=2, first=4, limits={"min_sharpe": None, "min_total_return": 0.0}
+        panel, "y", candidates, [days[80], days[99]], fold_sizes=sizes, patience=2, block=4, limits={"min_sharpe": None, "min_total_return": 0.0}
     ).cache()
     got = {(r["end_date"], r["name"]): r for r in runs.collect()}
     assert set(got) == {(d, n) for d in (days[80], days[99]) for n in "xz"}
