@@ -1,11 +1,11 @@
 """Document fingerprints by a homomorphic multiset hash of paragraphs.
 
 Every paragraph is hashed to a wide vector; a document's fingerprint is the sum
-of its paragraphs' vectors, lane by lane modulo 2**16. The order of paragraphs plays no
+of its paragraphs' vectors, lane by lane modulo 2**64. The order of paragraphs plays no
 part, and inserting or deleting some adds or subtracts their vectors without
-a look at the rest. The first ``UNIFORM`` lanes are uniform numbers and tell equal
-multisets from others; in the ``SIGNS`` lanes after them a paragraph counts +1 or
--1, so that sums stay small and the cosine of two fingerprints' lanes estimates that of the
+a look at the rest. The first ``UNIFORM`` lanes are uniform 64-bit numbers and tell equal
+multisets from others, however often a paragraph repeats; in the ``SIGNS`` lanes after them a paragraph counts +1 or
+-1, so that sums stay below the number of paragraphs (they are written modulo 2**32), and the cosine of two fingerprints' lanes estimates that of the
 multisets' counts, with an error of about 1 / sqrt(SIGNS).
 """
 
@@ -21,9 +21,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from panelkiln.llm.common import keyed, shuffle_parts
 
-UNIFORM = 48
+UNIFORM = 12
 SIGNS = 256
-_BYTES = 2 * UNIFORM + SIGNS // 8
+_BYTES = 8 * UNIFORM + SIGNS // 8
 
 #: A paragraph ends with its line; within a line also after a sentence, so that long lines have parts.
 _ENDS = re.compile(r"\n+|(?<=[.!?])[\x20\t]+")
@@ -38,16 +38,16 @@ def paragraphs(text: str | None) -> list[str]:
 
 
 def vector(parts: list[str]) -> np.ndarray:
-    """Sum of the paragraphs' vectors, as unsigned 16-bit lanes."""
-    total = np.zeros(UNIFORM + SIGNS, np.uint16)
+    """Sum of the paragraphs' vectors, as unsigned 64-bit lanes."""
+    total = np.zeros(UNIFORM + SIGNS, np.uint64)
     for i in range(0, len(parts), _BLOCK):
         block = parts[i : i + _BLOCK]
         digest = b"".join(hashlib.shake_128(p.encode()).digest(_BYTES) for p in block)
         rows = np.frombuffer(digest, np.uint8).reshape(len(block), _BYTES)
-        lanes = np.ascontiguousarray(rows[:, : 2 * UNIFORM]).view("<u2")
-        ones = np.unpackbits(rows[:, 2 * UNIFORM :], axis=1).sum(axis=0, dtype=np.int64)
-        total[:UNIFORM] += lanes.sum(axis=0, dtype=np.uint16)
-        total[UNIFORM:] += (2 * ones - len(block)).astype(np.uint16)
+        lanes = np.ascontiguousarray(rows[:, : 8 * UNIFORM]).view("<u8")
+        ones = np.unpackbits(rows[:, 8 * UNIFORM :], axis=1).sum(axis=0, dtype=np.int64)
+        total[:UNIFORM] += lanes.sum(axis=0, dtype=np.uint64)
+        total[UNIFORM:] += (2 * ones - len(block)).view(np.uint64)
     return total
 
 
@@ -57,14 +57,14 @@ def edited(before: np.ndarray, deleted: list[str], inserted: list[str]) -> np.nd
 
 
 def as_text(lanes: np.ndarray) -> str:
-    return lanes.astype("<u2").tobytes().hex()
+    return lanes[:UNIFORM].astype("<u8").tobytes().hex() + lanes[UNIFORM:].astype("<u4").tobytes().hex()
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
     """From 0 (nothing in common) to 1 (equal fingerprints)."""
     if np.array_equal(a, b):
         return 1.0
-    x, y = (v[UNIFORM:].view(np.int16).astype(float) for v in (a, b))
+    x, y = (v[UNIFORM:].view(np.int64).astype(float) for v in (a, b))
     scale = float(np.sqrt((x @ x) * (y @ y)))
     return min(max(float(x @ y) / scale, 0.0), 1.0) if scale else 0.0
 

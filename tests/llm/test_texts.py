@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import math
 import random
 import re
 import struct
@@ -127,16 +128,33 @@ def test_trigram_queries_are_met_by_every_match():
     assert secrets.mask("abcdef", [(1, 3), (2, 4)]) == "a[SECRET]ef"
 
 
+def brute_paragraphs(text):
+    return [p.strip() for line in text.split("\n") for p in re.split(r"(?<=[.!?])[ \t]+", line) if p.strip()]
+
+
 def brute_vector(parts):
     total = [0] * (multiset.UNIFORM + multiset.SIGNS)
     for p in parts:
-        digest = hashlib.shake_128(p.encode()).digest(2 * multiset.UNIFORM + multiset.SIGNS // 8)
+        digest = hashlib.shake_128(p.encode()).digest(8 * multiset.UNIFORM + multiset.SIGNS // 8)
         for i in range(multiset.UNIFORM):
-            total[i] += int.from_bytes(digest[2 * i : 2 * i + 2], "little")
+            total[i] += int.from_bytes(digest[8 * i : 8 * i + 8], "little")
         for i in range(multiset.SIGNS):
-            byte = digest[2 * multiset.UNIFORM + i // 8]
+            byte = digest[8 * multiset.UNIFORM + i // 8]
             total[multiset.UNIFORM + i] += 1 if byte >> (7 - i % 8) & 1 else -1
-    return b"".join(struct.pack("<H", x % 65536) for x in total).hex()
+    uniform, signs = total[: multiset.UNIFORM], total[multiset.UNIFORM :]
+    return b"".join([*(struct.pack("<Q", x % 2**64) for x in uniform), *(struct.pack("<I", x % 2**32) for x in signs)]).hex()
+
+
+def brute_cosine(a, b):
+    a, b = Counter(a), Counter(b)
+    both = math.sqrt(sum(n * n for n in a.values()) * sum(n * n for n in b.values()))
+    return sum(n * b[p] for p, n in a.items()) / both if both else 0.0
+
+
+def test_many_equal_paragraphs_are_told_apart():
+    few, many, most = (multiset.vector(["line"] * n) for n in (30_000, 40_000, 65_536))
+    assert len({multiset.as_text(v) for v in (few, many, most, multiset.vector([]))}) == 4
+    assert multiset.likeness(few, many) == pytest.approx(1.0) and multiset.likeness(most, multiset.vector([])) == 0.0
 
 
 def test_multiset_hash():
@@ -165,7 +183,16 @@ def test_edit_study(spark, no_ids):
     got = multiset.edit_study(frame(spark, rows, True))
     columns = ["doc_id", "n_chars", "edited_text", "fingerprint", "edited_fingerprint"]
     assert sorted_rows(got, *columns) == by_repr(want)
-    assert got.where("near_edited not between 0 and 1 or near_next not between 0 and 1").count() == 0
+    likenesses = {}
+    for r in got.collect():
+        likenesses.setdefault((r.doc_id, r.edited_text), []).append((r.near_edited, r.near_next))
+    for r, following in zip(ordered, ordered[1:] + ordered[:1]):
+        text, after = r[1] or "", following[1] or ""
+        quarter = len(text) // 4
+        changed = text[: len(text) - quarter] + after[:quarter]
+        parts = [brute_paragraphs(t) for t in (text, changed, after)]
+        want = [1.0 if Counter(parts[0]) == Counter(p) else brute_cosine(parts[0], p) for p in parts[1:]]
+        assert any(max(abs(x - y) for x, y in zip(want, near)) < 0.3 for near in likenesses[r[0], changed])  # the estimate's deviation is 1 / 16
     assert got.where("fingerprint = edited_fingerprint and near_edited <> 1").count() == 0
     assert multiset.edit_study(frame(spark, [])).count() == multiset.fingerprints(frame(spark, [])).count() == 0
 
