@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelkiln.functions.numeric import log
-from panelkiln.operators import audit, folds, labels, metrics, portfolio, price_features, sweep
+from panelkiln.operators import audit, folds, labels, metrics, portfolio, portfolio_grid, price_features, sweep
 from panelkiln.operators.rows import top_rows
 from panelkiln.plans import adapters as a
 from panelkiln.plans import sql_parts as s
@@ -342,6 +342,10 @@ DAILY_COLUMNS = (
 
 def _daily(spark, sf_dir, rules):
     daily, _ = portfolio.run_portfolio(stored_predictions(spark, sf_dir), rules)
+    return _shown_daily(daily)
+
+
+def _shown_daily(daily):
     # Costs are fractions of round numbers, so they sit on rounding ties; their logs do not.
     shown = daily.withColumns(
         {
@@ -368,6 +372,18 @@ def _weekly_long_short(spark, sf_dir):
     return _daily(spark, sf_dir, LONG_SHORT)
 
 
+@query(
+    "b01_b09_grid_of_rules",
+    f"""SELECT 'daily' AS rule, * FROM (WITH {portfolio_sql(5, 5, False, 0.05, False)} SELECT {DAILY_COLUMNS} FROM daily)
+    UNION ALL SELECT 'weekly', * FROM (WITH {portfolio_sql(4, 7, True, 0.2, True)} SELECT {DAILY_COLUMNS} FROM daily)
+    UNION ALL SELECT 'few', * FROM (WITH {portfolio_sql(2, 5, False, 0.05, True)} SELECT {DAILY_COLUMNS} FROM daily)""",
+)
+def _grid_of_rules(spark, sf_dir):
+    """B1 to B9 for several rules in one plan."""
+    rules = {"daily": LONG_ONLY, "weekly": LONG_SHORT, "few": portfolio.PortfolioRules(topn=2, max_names=5, rebalance="weekly")}
+    return _shown_daily(portfolio_grid.run_portfolio_grid(stored_predictions(spark, sf_dir), rules))
+
+
 @query(
     "b03_j11_weekly_positions",
     f"WITH {portfolio_sql(4, 7, True, 0.2, True)} SELECT date, symbol, round(weight, 6) + 0.0 AS weight, round(y_pred, 6) + 0.0 AS y_pred, round(y_true, 6) + 0.0 AS y_true FROM pos",

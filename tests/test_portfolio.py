@@ -1,8 +1,10 @@
 import datetime as dt
+import itertools
 
 import numpy as np
 import pytest
 
+from panelkiln.operators import portfolio_grid
 from panelkiln.operators.portfolio import PortfolioRules, portfolio_summary, run_portfolio
 from tests.helpers import weekdays
 
@@ -90,6 +92,36 @@ def test_portfolio_equals_a_day_by_day_walk(spark, rules):
     assert positions.count() == sum(w[4] for w in want)
 
 
+def test_a_grid_of_rules_equals_run_after_run(spark):
+    """50 rules in one plan: each equals the day-by-day walk, and some of them run_portfolio itself."""
+    rows = random_predictions(seed=8)
+    df = spark.createDataFrame(rows[::-1], SCHEMA).repartition(3)
+    rules = {}
+    for topn, names, long_short, mode in itertools.product((1, 2, 3, 5, 20), (3, 4, 6, 20), (False, True), ("daily", "weekly")):
+        rules[f"{topn}/{names}/{long_short}/{mode}"] = PortfolioRules(
+            topn=topn, max_names=names, long_short=long_short, rebalance=mode, single_name_cap=0.1 * (1 + topn % 3), commission_bps=topn / 2, notional=1e5 * names
+        )
+    rules = dict(list(rules.items())[:50])
+    grid = portfolio_grid.run_portfolio_grid(df, rules).cache()
+    got = {}
+    for r in grid.orderBy("date").collect():
+        got.setdefault(r.rule, []).append(r)
+    names = ("gross_return", "turnover", "cost_total", "n_names", "slip_bps_est", "equity", "drawdown")
+    assert len(rules) == 50 and set(got) == set(rules)
+    for name, own in rules.items():
+        want = simulate(rows, own)
+        assert [r.date for r in got[name]] == [w[0] for w in want]
+        for i, c in enumerate(names, start=1):
+            np.testing.assert_allclose([float(r[c]) for r in got[name]], [w[i] for w in want], atol=1e-10, err_msg=f"{name} {c}")
+    summary = {r.rule: r for r in portfolio_grid.grid_summary(grid).collect()}
+    for name in list(rules)[::20]:
+        daily, _ = run_portfolio(df, rules[name])
+        one = portfolio_summary(daily).first()
+        assert one["days"] == summary[name]["days"] and one["sharpe"] == pytest.approx(summary[name]["sharpe"])
+    with pytest.raises(ValueError):
+        portfolio_grid.run_portfolio_grid(df, {})
+
+
 def test_weekly_turnover_is_no_higher_and_summary_is_finite(spark):
     rows = []
     for i, day in enumerate(weekdays("2024-01-01", 10)):
