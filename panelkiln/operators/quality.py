@@ -251,7 +251,13 @@ def adjustment_violations(
     )
 
 
-def _as_metrics(one_row: DataFrame) -> DataFrame:
+def profile_figures(min_obs: int, *, streaks: bool) -> list[Column]:
+    """Aggregates over symbol profiles: copies, jumps, symbols left, and, if wanted, idle stretches."""
+    figures = [*_duplicate_figures(), *_jump_figures(), *_total_figures(min_obs)]
+    return figures + _streak_figures() if streaks else figures
+
+
+def as_metrics(one_row: DataFrame) -> DataFrame:
     """A one-row table as (metric, value) rows."""
     pairs = F.explode(
         F.array(
@@ -276,9 +282,7 @@ def quality_metrics(
     t = {**DEFAULTS, **(thresholds or {})}
     streak = int(t["volume_zero_streak_len"])
     profile = symbol_profile(prices, streak=streak, jump=t["price_jump_threshold"])
-    figures = [*_duplicate_figures(), *_jump_figures(), *_total_figures(int(t["min_obs_per_symbol"]))]
-    if streak > 1 and "volume" in prices.columns:
-        figures += _streak_figures()
+    figures = profile_figures(int(t["min_obs_per_symbol"]), streaks=streak > 1 and "volume" in prices.columns)
     # Two passes over the prices: one for figures of single rows, one for those of symbols.
     parts = [
         prices.agg(F.count(F.lit(1)).alias("rows"), *_missing_figures(prices), *_anomaly_figures(prices)),
@@ -294,9 +298,9 @@ def quality_metrics(
                 dividend_tolerance=t["div_adj_extra_tolerance"],
             )
         )
-    metrics = _as_metrics(parts[0])
+    metrics = as_metrics(parts[0])
     for part in parts[1:]:
-        metrics = metrics.unionByName(_as_metrics(part))
+        metrics = metrics.unionByName(as_metrics(part))
     return metrics
 
 
