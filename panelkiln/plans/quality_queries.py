@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from panelkiln.functions import columns, dates
 from panelkiln.functions.numeric import all_finite, all_present, clip, number
-from panelkiln.operators import feature_store, quality
+from panelkiln.operators import feature_store, quality, quality_summaries
 from panelkiln.plans import adapters as a
 from panelkiln.plans import sql_parts as s
 from panelkiln.plans.registry import counted, query, rounded
+from panelkiln.session import fresh_folder
+from panelkiln.sources.tables import with_month, write_table
 
 PRICES = ("open", "high", "low", "close", "adj_close", "volume")
 
@@ -156,6 +158,46 @@ def _quality_gate(spark, sf_dir):
     return gate.select("passed", F.array_join("fail_reasons", "; ").alias("fail_reasons"))
 
 
+SUMMARY_FIGURES = {
+    "rows": "(SELECT count(*) FROM prices)",
+    **{f"missing_{c}": f"(SELECT avg(({c} IS NULL)::INT) FROM prices)" for c in PRICES},
+    "missing_ratio_overall": f"(SELECT ({' + '.join(f'avg(({c} IS NULL)::INT)' for c in PRICES)}) / 6 FROM prices)",
+    "ohlc_anomaly_rows": "(SELECT count(*) FILTER (odd) FROM bars_seen)",
+    "ohlc_anomaly_ratio": "(SELECT avg(odd::INT) FROM bars_seen)",
+    "volume_zero_ratio": "(SELECT avg(coalesce(volume = 0, false)::INT) FROM prices)",
+    "duplicates_count": "(SELECT count(*) - count(DISTINCT (date, symbol)) FROM prices)",
+    "duplicates_ratio": "(SELECT (count(*) - count(DISTINCT (date, symbol))) / count(*) FROM prices)",
+    "price_jump_ratio": "(SELECT avg(coalesce(cm > 0.2, false)::INT) FROM moves)",
+    "symbols_total": "(SELECT count(*) FROM obs)",
+    "symbols_excluded_min_obs": "(SELECT count(*) FILTER (n < 590) FROM obs)",
+    "symbols_after_filter": "(SELECT count(*) FILTER (n >= 590) FROM obs)",
+    "zero_volume_streak_violations": "(SELECT count(*) FILTER (hits = 5 AND n = 5) FROM streaks)",
+    "zero_volume_streak_violation_ratio": "(SELECT count(*) FILTER (hits = 5 AND n = 5) / count(*) FROM streaks)",
+}
+
+
+@query(
+    "a13_quality_summaries",
+    f"""WITH {RAW_MOVES},
+    bars_seen AS (SELECT coalesce(close > high, false) OR coalesce(close < low, false) OR coalesce(high < low, false) AS odd FROM prices),
+    obs AS (SELECT symbol, count(date) AS n FROM prices GROUP BY symbol),
+    streaks AS (SELECT sum((coalesce(volume, 0) <= 0)::INT) OVER w AS hits, count(*) OVER w AS n FROM prices
+      WINDOW w AS (PARTITION BY symbol ORDER BY date, close NULLS FIRST, adj_close NULLS FIRST, (coalesce(volume, 0) <= 0)::INT ROWS 4 PRECEDING))
+    {' UNION ALL '.join(f"SELECT '{name}' AS metric, round(({sql})::DOUBLE, 6) + 0.0 AS value" for name, sql in SUMMARY_FIGURES.items())}""",
+)
+def _quality_summaries(spark, sf_dir):
+    """Figures from monthly summaries of a raw table that got its rows in two lots, the second over a few months anew."""
+    prices, store = fresh_folder(spark, "raw"), fresh_folder(spark, "quality")
+    rows = with_month(a.line_prices(spark, sf_dir))
+    late = (F.pmod(F.xxhash64("symbol", "close"), F.lit(3)) == 0) & F.col("month").isin(199504, 199505, 199610) | (F.col("month") >= 199807)
+    write_table(rows.where(~late), prices, partition_by="month")
+    quality_summaries.refresh_summaries(spark, prices, store)
+    write_table(rows.where(late), prices, partition_by="month", mode="append")
+    touched = [r[0] for r in rows.where(late).select("month").distinct().collect()]
+    quality_summaries.refresh_summaries(spark, prices, store, touched)
+    return rounded(quality_summaries.metrics_from_summaries(quality_summaries.stored_summaries(spark, store), thresholds=THRESHOLDS))
+
+
 @query(
     "p02_p03_coercion",
     """SELECT event_id, try_cast(CASE WHEN event_type = 'error' THEN 'n/a' WHEN event_type = 'view' THEN 'nan' ELSE CAST(value AS VARCHAR) END AS DOUBLE) + 0.0 AS num,
