@@ -25,7 +25,7 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Of each group of near copies the row of the smallest id; of equal rows one.
 
     Near copies are texts whose sets of 5-word shingles have a Jaccard likeness of 0.8 or more, and what such links
-    connect; SimHash classes are compared first, then what shares a MinHash band (``minhash.near_copies``). Where rows
+    connect; SimHash classes are compared first, then all that shares a MinHash band and is still apart (``minhash.near_copies``). Where rows
     of one id have several texts, the smallest text hash decides; of rows equal in id and text that of the least source
     and language stays. A group without any id keeps one of its rows; texts without a word (null, empty) are one group.
     """

@@ -9,7 +9,8 @@ Comparing all that meet in a band would take as many pairs as the square of a
 group's size, however few of them link. So every text is compared with
 a few leaders only: with one of all its bands first, by which large groups of near copies find together, and what is
 apart then with three of each band, by other orders in each; a group needs no more than some of its links to be found whole. A pair of 0.8 meets in about 13 bands.
-``exact=True`` compares all that meet, for when that can be afforded.
+Leaders can miss a link, so what shares a band and is still apart is compared last, pair by pair: by size and by one bit of each of
+128 minima (6 deviations of slack) where the pairs meet, so that few of them leave the join. ``exact=False`` leaves this step out.
 Before texts are fetched, pairs have to be of like size, and the share of 128 equal minima
 is an estimate that is allowed 4.5 deviations. What passes is compared shingle by shingle.
 """
@@ -44,8 +45,11 @@ ROUNDS, LEADERS = 1, 3
 #: Tasks that a leader's pairs are dealt to at most, and documents that a task looks at together.
 SLOTS, TOGETHER = 16, 1000
 
-#: Deviations that the estimate of likeness may be short by.
-SLACK = 4.5
+#: Deviations that the estimate of likeness may be short by, of whole minima and of one bit of each.
+SLACK, BIT_SLACK = 4.5, 6.0
+
+#: Pairs of one key that a task looks at; a greater key is dealt to several.
+MEETINGS = 50_000_000
 
 _random = np.random.default_rng(SEED)
 _FLIP, _TIMES = (_random.integers(1 << 63, size=(BANDS * ROWS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(2))
@@ -80,6 +84,11 @@ def bands(least: np.ndarray) -> np.ndarray:
     return packed.mixed(keys).view(np.int64)
 
 
+def sketch(least: np.ndarray) -> np.ndarray:
+    """One bit of each of the minima, as two signed longs."""
+    return np.packbits((least & np.uint64(1)).astype(np.uint8)).view("<i8")
+
+
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
     """Jaccard likeness of two sets that are not both empty."""
     both = len(np.intersect1d(a, b, assume_unique=True))
@@ -87,11 +96,11 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def _marks(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """(doc_id, text_key, node, fingerprint, n, bands, minima) of every row; texts of equal shingles are one node.
+    """(doc_id, text_key, node, fingerprint, n, bands, minima, bits0, bits1) of every row; texts of equal shingles are one node.
 
     Of the minima 16 bits each are kept.
     """
-    names = ["doc_id", "text_key", "node", "fingerprint", "n", "bands", "minima"]
+    names = ["doc_id", "text_key", "node", "fingerprint", "n", "bands", "minima", "bits0", "bits1"]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (whole.slice(i, TOGETHER) for whole in batches for i in range(0, whole.num_rows, TOGETHER)):
@@ -99,15 +108,17 @@ def _marks(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFra
             sets = [shingles(t, shingle) for t in texts]
             nodes = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64)
             least = [minima(s) if len(s) else None for s in sets]
+            bits = [(0, 0) if x is None else sketch(x).tolist() for x in least]
             columns = [
                 batch.column("doc_id"), batch.column("text_key"), pa.array(nodes), pa.array([fingerprint(t) for t in texts], pa.int64()),
                 pa.array([len(s) for s in sets], pa.int64()), pa.array([[] if x is None else bands(x) for x in least], pa.list_(pa.int64())),
                 pa.array([b"" if x is None else (x & np.uint64(0xFFFF)).astype("<u2").tobytes() for x in least], pa.binary()),
+                *(pa.array([b[i] for b in bits], pa.int64()) for i in range(2)),
             ]
             yield pa.RecordBatch.from_arrays(columns, names)
 
     rows = keyed(docs, id_col, text_col).withColumn("text_key", text_key(F.col("text")))
-    return rows.mapInArrow(scan, "doc_id long, text_key long, node long, fingerprint long, n long, bands array<long>, minima binary")
+    return rows.mapInArrow(scan, "doc_id long, text_key long, node long, fingerprint long, n long, bands array<long>, minima binary, bits0 long, bits1 long")
 
 
 def _alike(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
@@ -175,10 +186,26 @@ def _with_one_leader(entries: DataFrame, salt: int) -> DataFrame:
     return met.groupBy("node").agg(F.min("leader").alias("leader")).select("leader.a", F.col("node").alias("b"))
 
 
-def _all_pairs(entries: DataFrame) -> DataFrame:
-    left = entries.select("key", F.col("node").alias("a"), F.col("root").alias("a_root"))
-    right = entries.select("key", F.col("node").alias("b"), F.col("root").alias("b_root"))
-    return left.join(right, "key").where("a < b and a_root <> b_root").select("a", "b")
+def _all_pairs(entries: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of all nodes that share a key, are of different classes and may be alike by size and by the bits of their minima.
+
+    ``entries`` are (key, node, root). A key's greatest class is not held against itself, and a key of many pairs is dealt to
+    several tasks: each has a part of the nodes outside that class, and all of the key's nodes to hold them against.
+    """
+    share = (1 - similarity) / 2
+    most_bits = BANDS * ROWS * share + BIT_SLACK * (BANDS * ROWS * share * (1 - share)) ** 0.5
+    sizes = entries.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size")).groupBy("key")
+    sizes = sizes.agg(F.max_by("root", F.struct("size", "root")).alias("main"), F.sum("size").alias("all"), F.max("size").alias("most")).where("most < all")
+    slots = F.ceil(F.col("all") * (F.col("all") - F.col("most")).cast("double") / MEETINGS).cast("int").alias("slots")
+    marked = entries.join(sizes.select("key", "main", slots), "key").join(nodes.select("node", "n", "bits0", "bits1"), "node")
+    columns = ("node", "root", "n", "bits0", "bits1")
+    left = marked.where("root <> main").select("key", "main", F.pmod(F.xxhash64("node"), "slots").cast("int").alias("slot"), *[F.col(c).alias(f"a_{c}") for c in columns])
+    right = marked.select("key", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("slot"), *[F.col(c).alias(f"b_{c}") for c in columns])
+    apart = (F.col("a_root") != F.col("b_root")) & ((F.col("b_root") == F.col("main")) | (F.col("a_node") < F.col("b_node")))
+    sized = F.least("a_n", "b_n") >= F.greatest("a_n", "b_n") * similarity - 1e-9
+    unlike = sum(F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in ("bits0", "bits1"))
+    met = left.alias("l").join(right.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.slot") == F.col("r.slot")) & apart & sized & (unlike <= most_bits))
+    return met.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
 
 
 def _shared(keys: DataFrame) -> DataFrame:
@@ -199,18 +226,20 @@ def _classes(nodes: DataFrame, docs: DataFrame, shingle: int, similarity: float,
     wanted = wanted.select("node", F.col("doc_id").alias("own_id"), F.col("text_key").alias("own_key"))
     rows = docs.join(wanted, docs.doc_id.eqNullSafe(F.col("own_id")) & (text_key(F.col("text")) == F.col("own_key")))
     texts = scratch.stored(rows.groupBy("node").agg(F.first("text").alias("text")), "texts")
-    found, roots = None, None
-    for step in range(2 + (1 if exact else rounds)):
+    found, roots, tried = None, None, None
+    for step in range(2 + rounds + exact):
         entries = (banded if step else near).withColumn("root", F.col("node"))
         if roots is not None:
             entries = entries.drop("root").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-        if exact and step > 1:
-            pairs = _all_pairs(entries)
+        if step == 2 + rounds:
+            pairs = _all_pairs(scratch.stored(entries, "entries"), nodes, similarity)
         else:
             # A group of near copies finds together by one leader each, before all leaders of its bands are looked at.
             pairs = _with_one_leader(entries, step) if step < 2 else _with_leaders(entries, [step * LEADERS + i for i in range(LEADERS)])
         pairs = _ordered(pairs)
+        pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
         alike = scratch.stored(_alike(pairs, nodes, similarity) if step else pairs, "alike")
+        tried = alike if tried is None else tried.union(alike)
         good = scratch.stored(_verified(alike, texts, shingle, similarity), "likes")
         found = good if found is None else found.union(good)
         if not good.isEmpty():
@@ -226,22 +255,22 @@ def near_copies(
     text_col: str = "text",
     shingle: int = SHINGLE,
     similarity: float = SIMILARITY,
-    exact: bool = False,
+    exact: bool = True,
     rounds: int = ROUNDS,
 ) -> DataFrame:
     """One row per document: doc_id, text_key, and the number of its group.
 
     Two texts link if their sets of ``shingle``-word shingles have a Jaccard
     likeness of ``similarity`` or more (fewer words are one shingle); groups are what links connect. No pair below it is
-    linked. By default most links are found, by leaders; ``exact=True`` finds all that share a band, at the
-    cost of as many pairs as large groups have. Texts without a word (null, empty, white space) are one
+    linked. All links that share a band are found (a pair of 0.8 shares none of 32 with a chance of 5e-8), those that large groups
+    of near copies need not have aside; ``exact=False`` finds most of them, by leaders alone. Texts without a word (null, empty, white space) are one
     group. Copies and repeated rows are compared once and each has a row; rows without an id are grouped like others. An
     empty table gives an empty table. Other columns of ``docs`` play no part.
     """
     marked = stored(_marks(docs, id_col, text_col, shingle), "marks")
     first = [F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("first")]
-    first += [F.min("fingerprint").alias("fingerprint"), F.min("n").alias("n"), F.first("bands").alias("bands"), F.first("minima").alias("minima")]
-    nodes = marked.groupBy("node").agg(*first).select("node", "first.doc_id", "first.text_key", "fingerprint", "n", "bands", "minima")
+    first += [F.min("fingerprint").alias("fingerprint"), F.min("n").alias("n"), *[F.first(c).alias(c) for c in ("bands", "minima", "bits0", "bits1")]]
+    nodes = marked.groupBy("node").agg(*first).select("node", "first.doc_id", "first.text_key", "fingerprint", "n", "bands", "minima", "bits0", "bits1")
     nodes = stored(nodes, "nodes")
     roots = _classes(nodes, keyed(docs, id_col, text_col), shingle, similarity, exact, rounds)
     placed = marked.select("doc_id", "text_key", "node").join(roots, "node", "left")

@@ -254,6 +254,32 @@ def test_leaders_find_most_links_and_no_others(spark):
     assert len(together) <= 1.1 * len(set(group.values()))
 
 
+def test_pipeline_loses_no_link_that_leaders_miss(spark):
+    """Pairs of likeness 0.83 whose bands hold a hundred texts of likeness 0.77 and less, so that few of a band's nodes are its leaders."""
+    base, rows = [f"w{i}" for i in range(120)], []
+    for group, places in enumerate(itertools.combinations(range(10, 118, 9), 2)):
+        for copy in range(2):
+            own = list(base)
+            for p in places:
+                own[p] = f"x{group}y{copy}z{p}"
+            rows.append((2 * group + copy, " ".join(own), "s", "en", None))
+    assert brute_likeness(rows[0][1], rows[1][1]) > 0.8 > brute_likeness(rows[0][1], rows[2][1])
+    kept = corpus_pipeline.simhash_dedup(spark, frame(spark, rows), "")
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(0, len(rows), 2))
+
+
+@pytest.mark.parametrize("meetings", [50, 10**6])
+def test_all_pairs_that_may_link_meet_whatever_a_task_looks_at(spark, meetings, monkeypatch):
+    monkeypatch.setattr(minhash, "MEETINGS", meetings)
+    entries = [(key, node, node % 7 if node > 20 else 3) for key in (1, 2) for node in range(40)]
+    nodes = spark.createDataFrame([(i, 10, 0, -1 if i == 39 else 0) for i in range(40)], "node long, n long, bits0 long, bits1 long")
+    pairs = minhash._all_pairs(spark.createDataFrame(entries, "key long, node long, root long"), nodes, 0.8)
+    root = {node: r for _, node, r in entries}
+    want = {(a, b) for a, b in itertools.combinations(range(39), 2) if root[a] != root[b]}  # the bits of 39 are unlike
+    got = [tuple(sorted((r.a, r.b))) for r in pairs.collect()]
+    assert set(got) == want and len(got) == 2 * len(want)
+
+
 def test_pairs_with_leaders_grow_with_the_entries(spark):
     for m in (200, 400, 800):
         entries = spark.range(m).selectExpr("explode(sequence(0L, 31L)) AS key", "id AS node", "id AS root")
