@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from panelkiln.functions.columns import first_value, symbol_name
 from panelkiln.functions.dates import add_business_days, day, is_business_day
 from panelkiln.functions.text import ticker_from_json
+from panelkiln.session import stored
 
 # Vendor column aliases.
 ADDED_COLUMNS = (
@@ -175,6 +176,24 @@ def membership_days(intervals: DataFrame) -> DataFrame:
     return days.filter(is_business_day(F.col("date"))).withColumn("is_member", F.lit(True))
 
 
+def members_by_day(intervals: DataFrame) -> DataFrame:
+    """(date, members, first_symbol, last_symbol) of the days spelled out.
+
+    Spark has to sort rows to find the least text of a group. So symbols are numbered in their order first, the days are
+    counted with numbers, which combine map-side without a sort, and two numbers a day are names again.
+    """
+    spans = stored(intervals, "spans")
+    names = spans.select("symbol").where(F.col("symbol").isNotNull()).distinct().orderBy("symbol")
+    names = stored(names.withColumn("number", F.monotonically_increasing_id()), "names")
+    numbered = spans.join(names, "symbol", "left").select(F.col("number").alias("symbol"), "from_date", "to_date")
+    days = membership_days(numbered).groupBy("date").agg(F.count(F.lit(1)).alias("members"), F.min("symbol").alias("first"), F.max("symbol").alias("last"))
+    # One row a day: small enough to travel to the names.
+    days = stored(days, "days")
+    ends = days.select("date", F.explode(F.array("first", "last")).alias("number")).where(F.col("number").isNotNull()).distinct()
+    found = names.join(F.broadcast(ends), "number").groupBy("date").agg(F.min("symbol").alias("first_symbol"), F.max("symbol").alias("last_symbol"))
+    return days.select("date", "members").join(found, "date", "left")
+
+
 def static_spans(symbols: DataFrame, start: date, end: date) -> DataFrame:
     """Every listed symbol as one span (symbol, from_date, to_date)."""
     return symbols.select(

@@ -321,10 +321,7 @@ def _point_in_time_days(spark, sf_dir):
     f"WITH {UNIVERSE_SQL} SELECT date, count(*) AS members, min(symbol) AS first_symbol, max(symbol) AS last_symbol FROM days GROUP BY date",
 )
 def _point_in_time_by_day(spark, sf_dir):
-    days = universe.membership_days(_intervals(spark, sf_dir))
-    return days.groupBy("date").agg(
-        counted("members"), F.min("symbol").alias("first_symbol"), F.max("symbol").alias("last_symbol")
-    )
+    return universe.members_by_day(_intervals(spark, sf_dir))
 
 
 @query(
