@@ -370,7 +370,7 @@ def _symbols_from_json(spark, sf_dir):
 def _price_stream(spark, sf_dir):
     """Landed envelopes streamed into the price table; running it again changes nothing."""
     folders = [fresh_folder(spark, name) for name in ("landing", "prices", "stream")]
-    landing.as_envelopes(a.landed_bars(spark, sf_dir)).write.json(folders[0])
+    landing.as_envelopes(a.landed_bars(spark, sf_dir)).write.json(folders[0], compression="gzip")
     for _ in range(2):
         refresh.refresh_prices(spark, *folders).awaitTermination()
     return _logs(read_table(spark, folders[1]))

@@ -84,8 +84,10 @@ def as_envelopes(rows: DataFrame, endpoint: str = "prices_eod") -> DataFrame:
     own = [F.col(c).alias("adjClose" if c == "adj_close" else c) for c in rows.columns if c not in ("date", "symbol")]
     row = F.struct(F.col("date").cast("string").alias("date"), *own)
     meta = F.struct(F.lit(200).alias("status_code"), F.lit(endpoint).alias("endpoint_name"), "symbol")
+    # Dealt first, so that rows are sorted once for their lists and not before the shuffle too.
+    dealt = rows.withColumn("_year", F.year("date")).repartition("symbol", "_year")
     return (
-        rows.groupBy("symbol", F.year("date").alias("year"))
+        dealt.groupBy("symbol", "_year")
         .agg(F.array_sort(F.collect_list(row)).alias("data"))
         .select(meta.alias("meta"), "data")
     )

@@ -16,9 +16,9 @@ from panelkiln.sources.tables import optional_table, with_month, write_table
 KEY = ("date", "symbol")
 
 
-def _ranks(df: DataFrame, order: Sequence[str]) -> list[Column]:
+def _ranks(df: DataFrame, order: Sequence[str]) -> list[str]:
     """Arrival first; rows that arrived together are told apart by their values."""
-    return [F.col(c) for c in [*order, *(c for c in df.columns if c not in order)]]
+    return [*order, *(c for c in df.columns if c not in order)]
 
 
 def existing_wins(
