@@ -11,101 +11,134 @@ so that nothing is shuffled.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from panelkiln.llm.common import utf8
-
-#: Open pieces that a task keeps, and distinct words whose ids it remembers.
+#: Open pieces that a task keeps.
 OPEN = 512
-REMEMBERED = 800_000
-SHORT = 7
 
-#: Documents whose new words are looked up together.
-TOGETHER = 128
+#: A process remembers the ids of twice as many words at most, none of more bytes.
+REMEMBERED, LONGEST = 150_000, 40
+
+#: Bytes of texts that are tokenised together, and of ids that are handed on together.
+TOGETHER, OUT = 4 << 20, 2 << 20
 
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, loss_tokens long, sequence_id long, offset long"
 
 
-class WordIds(dict):
-    """Ids of a text as little-endian unsigned 32-bit numbers.
+#: Words that only change by lower-casing, letter by letter, when normalised; and the parts that the tokenizer makes of them, line by line.
+PLAIN = re.compile("[!-~À-ÖØ-öø-ÿА-я一-龥]+")
+PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿа-я一-龥]+|[0-9]|\n|[^a-zß-öø-ÿа-я一-龥0-9\n]+")
+
+
+def byte_letters() -> np.ndarray:
+    """Code points of the letters that stand for bytes in the tokenizer's vocabulary; a space stays one."""
+    letters = np.arange(256, dtype="<u4")
+    others = np.setdiff1d(letters, [*range(33, 127), *range(161, 173), *range(174, 256)])
+    letters[others] = 256 + np.arange(len(others))
+    letters[32] = 32
+    return letters
+
+
+class WordIds:
+    """Ids of texts as little-endian unsigned 32-bit numbers.
 
     The tokenizer never joins what ASCII white space parts, so the ids of a text
-    are those of its words in turn, and words come back often. It also
-    lower-cases, and parts a letter or digit from punctuation that follows, so
-    that "Word," needs no more than "word" and ",". New words go
-    through it in one text, between marks that it keeps apart from any text.
+    are those of its words in turn. Many texts are split at once, and each
+    different word is looked up once among those seen lately. New words that are
+    ``PLAIN`` are cut into parts here and go through the tokenizer's model
+    alone; others go through the whole tokenizer in one text, between marks
+    that it keeps apart from any text.
     """
 
-    MARK, ENDS, SOME = "<|startoftext|>", b".,!?;:", 1000
+    MARK, SOME, LETTERS = "<|startoftext|>", 1000, byte_letters()
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = Tokenizer(self.tokenizer.model)
+        self.model.normalizer, self.model.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.WhitespaceSplit()
         self.mark = self.tokenizer.token_to_id(self.MARK)
-        #: Tokens that end a run of letters, or of what else the tokenizer takes as one part.
+        #: Tokens that end a part.
         self.last = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.last[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
+        self.recent: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def of(self, texts: list[bytes]) -> list[bytes]:
+        return self.of_column(pa.array(texts, pa.binary()).cast(pa.string()))
+
+    def of_column(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text; a null has none."""
+        nothing = pa.scalar("", texts.type)
+        texts = pc.fill_null(texts, nothing)
         if self.mark is None:
-            return [self.plain(t) for t in texts]
-        lists = [None if b"<|" in t else t.lower().split() for t in texts]
-        if new := {w for words in lists if words for w in words if w not in self}:
-            if len(self) + len(new) > REMEMBERED:
-                self.forget()
-                new = {w for words in lists if words for w in words if w not in self}
-            self.learn(list(new))
-        get = self.__getitem__
-        return [self.plain(t) if words is None else b"".join(map(get, words)) for t, words in zip(texts, lists)]
-
-    def plain(self, text: bytes) -> bytes:
-        ids = self.tokenizer.encode(text.decode(), add_special_tokens=False).ids
-        return np.asarray(ids, "<u4").tobytes()
-
-    def forget(self) -> None:
-        """Long words first: they are seldom seen again."""
-        for w in [w for w in self if len(w) > SHORT]:
-            del self[w]
-        if len(self) > REMEMBERED // 2:
-            self.clear()
-
-    def keep(self, words: list[bytes], ids: np.ndarray, stops: np.ndarray) -> None:
+            return [self.plain(t) for t in texts.to_pylist()]
+        marked = pc.match_substring(texts, "<|")
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.if_else(marked, nothing, texts)))
+        words = lists.flatten().dictionary_encode()
+        found = pa.array(self.of_words(words.dictionary.cast(pa.binary()).to_pylist()), pa.large_binary())
+        ids = found.take(words.indices)
+        _, stops, raw = ids.buffers()
+        ends = np.frombuffer(stops, np.int64)[lists.offsets.to_numpy()].tolist() if len(ids) else [0] * (len(texts) + 1)
+        raw = memoryview(raw or b"")
+        out = [raw[a:b].tobytes() for a, b in zip(ends, ends[1:])]
+        for i in np.flatnonzero(marked.to_numpy(zero_copy_only=False)).tolist():
+            out[i] = self.plain(texts[i].as_py())
+        return out
+
+    def of_words(self, words: list[bytes]) -> list[bytes]:
+        """Ids of different words in lower case."""
+        out = list(map(self.recent.get, words))
+        absent = [i for i, ids in enumerate(out) if ids is None]
+        for i in absent:
+            out[i] = self.older.pop(words[i], None)
+        new = [i for i in absent if out[i] is None]
+        plain = [i for i in new if PLAIN.fullmatch(words[i].decode())]
+        for own, learn in ((plain, self.learn), (sorted(set(new).difference(plain)), self.learn_marked)):
+            for some in (own[k : k + self.SOME] for k in range(0, len(own), self.SOME)):
+                for i, ids in zip(some, learn([words[i] for i in some])):
+                    out[i] = ids
+        self.recent.update((words[i], out[i]) for i in absent if len(words[i]) <= LONGEST)
+        if len(self.recent) > REMEMBERED:
+            self.older, self.recent = self.recent, {}
+        return out
+
+    def plain(self, text: str) -> bytes:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def learn(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words that are ``PLAIN``; the model ends each part with a token of its own."""
+        parts = PARTS.findall(b"\n".join(words).decode().lower())
+        breaks = np.array([i for i, part in enumerate(parts) if part == "\n"], int)
+        text = " ".join([part for part in parts if part != "\n"])
+        if not text.isascii():
+            text = self.LETTERS[np.frombuffer(text.encode(), np.uint8)].tobytes().decode("utf-32-le")
+        ids = np.asarray(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        stops = np.flatnonzero(self.last[ids]) + 1
+        if len(stops) != len(parts) - len(breaks):
+            return self.learn_marked(words)
+        return self.sliced(ids, stops[np.append(breaks - np.arange(len(breaks)), len(stops)) - 1])
+
+    def learn_marked(self, words: list[bytes]) -> list[bytes]:
+        ids = np.frombuffer(self.plain("".join(self.MARK + w.decode() for w in words)), "<u4")
+        marks = np.flatnonzero(ids == self.mark)
+        return self.sliced(np.delete(ids, marks), np.append(marks[1:] - np.arange(1, len(marks)), len(ids) - len(marks)))
+
+    @staticmethod
+    def sliced(ids: np.ndarray, stops: np.ndarray) -> list[bytes]:
         raw, ends = ids.tobytes(), (4 * stops).tolist()
-        self.update((w, raw[a:b]) for w, a, b in zip(words, [0, *ends[:-1]], ends))
-
-    def keep_marked(self, words: list[bytes]) -> None:
-        for some in (words[i : i + self.SOME] for i in range(0, len(words), self.SOME)):
-            ids = np.frombuffer(self.plain(self.MARK.encode().join(some)), "<u4")
-            marks = np.flatnonzero(ids == self.mark)
-            ids = np.delete(ids, marks)
-            self.keep(some, ids, np.append(marks - np.arange(len(marks)), len(ids)))
-
-    def learn(self, new: list[bytes]) -> None:
-        parts = []
-        for w in new:
-            stem = w.rstrip(self.ENDS)
-            n = len(stem) if stem[-1:].isalnum() else len(w)
-            parts.append((w[:n], w[n:]))
-        unknown = {p for pair in parts for p in pair if p and p not in self}
-        letters = [p for p in unknown if p.decode().isalpha()]  # at least one part each
-        for some in (letters[i : i + self.SOME] for i in range(0, len(letters), self.SOME)):
-            ids = np.frombuffer(self.plain(b" ".join(some)), "<u4")
-            stops = np.flatnonzero(self.last[ids]) + 1
-            if len(stops) == len(some):
-                self.keep(some, ids, stops)
-            else:
-                self.keep_marked(some)
-        self.keep_marked(list(unknown.difference(letters)))
-        self.update((a + b, self[a] + self[b]) for a, b in parts if b)
+        return [raw[a:b] for a, b in zip([0, *ends[:-1]], ends)]
 
 
 @lru_cache(maxsize=2)
@@ -135,6 +168,11 @@ class Piece:
         free = max(0, self.loss_from - self.start)
         return max(0, min(self.stop - self.start, tokens, free + loss))
 
+    def alone(self) -> Piece:
+        """Its ids apart from those of the rest of its document, which needn't stay in memory with them."""
+        self.ids = memoryview(bytes(self.ids))
+        return self
+
     def cut(self, n: int) -> tuple[Piece, Piece | None]:
         if n == self.stop - self.start:
             return self, None
@@ -167,16 +205,17 @@ class Packer:
         room = self.tokens if waiting >= self.tokens else 1 << (waiting.bit_length() - 1)
         left, out = np.array([room, self.segments, self.loss], float), []
         while self.open and left[0] > 0 and left[1] > 0:
-            fits = (self.shape <= left).all(axis=1)
+            tokens, segments, loss = self.shape.T
+            fits = (tokens <= left[0]) & (segments <= left[1]) & (loss <= left[2])
             if fits.any():
                 gain = (self.shape / self.limits) @ (left / self.limits)
                 piece = self._take(int(np.argmax(np.where(fits, gain, -1.0))))
             else:
-                fronts = [p.fitting(int(left[0]), int(left[2])) for p in self.open]
+                fronts = np.minimum(np.minimum(tokens, left[0]), tokens - loss + left[2])  # as ``Piece.fitting``
                 i = int(np.argmax(fronts))
                 if not fronts[i]:
                     break
-                piece, rest = self._take(i).cut(fronts[i])
+                piece, rest = self._take(i).cut(int(fronts[i]))
                 if rest:
                     self.add(rest)
             out.append(piece)
@@ -250,32 +289,43 @@ def pack(
             types = [pa.binary() if n == "ids" else pa.int64() for n in names]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
-        def tokenised(doc_ids: list, texts: list, loss: list) -> Iterator[tuple]:
-            for i in range(0, len(texts), TOGETHER):
-                some = slice(i, i + TOGETHER)
-                yield from zip(doc_ids[some], ids_of.of([t or b"" for t in texts[some]]), loss[some])
+        def tokenised(batch: pa.RecordBatch) -> Iterator[tuple]:
+            texts = batch.column(1)
+            sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero(np.diff(np.cumsum(sizes, dtype=np.int64) // TOGETHER)) + 1
+            for start, stop in pairwise([0, *cuts.tolist(), len(batch)]):
+                doc_ids, loss = (batch.column(k).slice(start, stop - start).to_pylist() for k in (0, 2))
+                yield from zip(doc_ids, ids_of.of_column(texts.slice(start, stop - start)), loss)
 
-        done: list[tuple] = []
-        for batch in batches:
-            columns = [batch.column(0).to_pylist(), utf8(batch.column(1)), batch.column(2).to_pylist()]
-            for doc_id, ids, loss_from in tokenised(*columns):
+        def pieces_of(batch: pa.RecordBatch) -> Iterator[list[Piece]]:
+            for doc_id, ids, loss_from in tokenised(batch):
                 ids = memoryview(ids + end)
                 rest: Piece | None = Piece(doc_id, ids, 0, len(ids) // 4, loss_from, len(ids) // 4)
                 while rest and rest.fitting(max_tokens, loss_limit) == max_tokens:
                     full, rest = rest.cut(max_tokens)
-                    done += rows_of([full])
+                    yield [full]
                 while rest:
                     # Beyond the loss limit no single sequence could hold it whole.
                     part, rest = rest.cut(rest.fitting(max_tokens, loss_limit))
-                    packer.add(part)
+                    packer.add(part.alone())
                 if len(packer.open) > OPEN:
                     while len(packer.open) > OPEN // 2:
-                        done += rows_of(packer.sequence())
-                if len(done) > 2000:
-                    yield batch_of(done)
-                    done = []
-        while packer.open:
-            done += rows_of(packer.sequence())
+                        yield packer.sequence()
+
+        def sequences() -> Iterator[list[Piece]]:
+            for batch in batches:
+                yield from pieces_of(batch)
+            while packer.open:
+                yield packer.sequence()
+
+        done: list[tuple] = []
+        held = 0
+        for pieces in sequences():
+            done += rows_of(pieces)
+            held += 4 * sum(p.stop - p.start for p in pieces)
+            if held > OUT or len(done) > 2000:
+                yield batch_of(done)
+                done, held = [], 0
         if done:
             yield batch_of(done)
 

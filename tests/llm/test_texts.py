@@ -6,14 +6,17 @@ import math
 import random
 import re
 import struct
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import zstandard
 from helpers_llm import awkward, by_repr, frame, sorted_rows, words
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from panelkiln.llm import licenses, mixing, multiset, packing, quality, secrets, warc
 
@@ -292,6 +295,45 @@ def test_word_ids_are_the_tokenizers():
         assert np.frombuffer(got, "<u4").tolist() == reference_ids(text)[:-1]
 
 
+def test_word_ids_of_plain_and_other_words():
+    letters = [*map(chr, range(33, 127)), *map(chr, range(0xA1, 0x180)), *"АЙйяёЁΣς一龥がﬁ\x7f\x01\u0301", "'s", "'re", "'LL", "é", "ß", "µ", "×"]
+    rng, known = random.Random(3), packing.WordIds(packing.tokenizer_path())
+    texts = ["".join(rng.choice(letters) + " " * (rng.random() < 0.2) for _ in range(rng.randint(0, 30))) for _ in range(3000)]
+    for _ in range(2):
+        for text, got in zip(texts, known.of([t.encode() for t in texts])):
+            assert got == known.plain(text)
+
+
+def test_long_words_and_very_many_are_not_remembered(monkeypatch):
+    rng, known = random.Random(4), packing.WordIds(packing.tokenizer_path())
+    long = ["".join(rng.choices("abcdefghij", k=2000)) for _ in range(500)]
+    known.of([b"warm up"])
+    tracemalloc.start()
+    for word in long:
+        assert len(known.of([word.encode()])) == 1
+    kept = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert kept < 500_000
+    monkeypatch.setattr(packing, "REMEMBERED", 100)
+    texts = [" ".join(f"{rng.choice('ab')}{rng.choice('cd')}{rng.randint(0, 400)}" for _ in range(20)) for _ in range(300)]
+    for text in texts:
+        assert known.of([text.encode()]) == [known.plain(text)]
+        assert len(known.recent) + len(known.older) <= 2 * (100 + 20)
+
+
+def test_open_pieces_do_not_hold_their_documents(spark, monkeypatch):
+    held = []
+    add = packing.Packer.add
+    monkeypatch.setattr(packing.Packer, "add", lambda self, piece: (held.append(len(piece.ids.obj)), add(self, piece)))
+    monkeypatch.setattr(packing, "TaskContext", type("Context", (), {"get": classmethod(lambda c: c), "partitionId": classmethod(lambda c: 0)}))
+    monkeypatch.setattr(DataFrame, "mapInArrow", lambda self, scan, schema: scan)
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["ab " * 90_000, None], "loss_from": [0, 0]})
+    batches = list(packing.pack(frame(spark, []))(iter([batch])))
+    assert sum(pc.sum(b["length"]).as_py() for b in batches) == 90_002
+    assert max(held) <= 4 * 4096
+    assert max(b.nbytes for b in batches) < 2 * packing.OUT
+
+
 @pytest.mark.parametrize("limits", [{}, {"max_tokens": 64, "max_segments": 3}, {"max_tokens": 100, "max_segments": 5, "max_loss_tokens": 17}])
 def test_packing(spark, limits):
     rows = awkward(13, n=80)
