@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 import pytest
 import zstandard
 from helpers_llm import awkward, by_repr, frame, sorted_rows, words
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import functions as F
 
 from panelkiln.llm import licenses, mixing, multiset, packing, quality, secrets, warc
 
@@ -326,9 +326,10 @@ def test_open_pieces_do_not_hold_their_documents(spark, monkeypatch):
     add = packing.Packer.add
     monkeypatch.setattr(packing.Packer, "add", lambda self, piece: (held.append(len(piece.ids.obj)), add(self, piece)))
     monkeypatch.setattr(packing, "TaskContext", type("Context", (), {"get": classmethod(lambda c: c), "partitionId": classmethod(lambda c: 0)}))
-    monkeypatch.setattr(DataFrame, "mapInArrow", lambda self, scan, schema: scan)
+    docs = frame(spark, [])
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, scan, schema: scan)
     batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["ab " * 90_000, None], "loss_from": [0, 0]})
-    batches = list(packing.pack(frame(spark, []))(iter([batch])))
+    batches = list(packing.pack(docs)(iter([batch])))
     assert sum(pc.sum(b["length"]).as_py() for b in batches) == 90_002
     assert max(held) <= 4 * 4096
     assert max(b.nbytes for b in batches) < 2 * packing.OUT
