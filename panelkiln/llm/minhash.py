@@ -9,8 +9,11 @@ Comparing all that meet in a band would take as many pairs as the square of a
 group's size, however few of them link. So every text is compared with
 a few leaders only: with one of all its bands first, by which large groups of near copies find together, and what is
 apart then with three of each band, by other orders in each; a group needs no more than some of its links to be found whole. A pair of 0.8 meets in about 13 bands.
-Leaders can miss a link, so what shares a band and is still apart is compared last, pair by pair: by size and by one bit of each of
-128 minima (6 deviations of slack) where the pairs meet, so that few of them leave the join. ``exact=False`` leaves this step out.
+Leaders can miss a link, so what shares a band and is still apart is compared last, pair by pair. A link between two classes rests on
+shingles that both have, so only those that are in several classes count: a text that has them for less than 0.8 of its set has no link to
+come, and of the others' common shingles the likeness has to be so much higher (0.94 where a tenth of both sets is their own) that 1024 minima
+of one bit tell links from what only comes near them. Where pairs meet, they are held to that, and each leaves the join once, at the least
+key it shares. ``exact=False`` leaves this step out.
 Before texts are fetched, pairs have to be of like size, and the share of 128 equal minima
 is an estimate that is allowed 4.5 deviations. What passes is compared shingle by shingle.
 """
@@ -18,11 +21,12 @@ is an estimate that is allowed 4.5 deviations. What passes is compared shingle b
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from panelkiln.llm import packed
 from panelkiln.llm.common import keyed, text_key, utf8
@@ -36,8 +40,8 @@ BANDS = 32
 ROWS = 4
 SEED = 42
 
-#: Shingles whose minima are taken at once.
-_BLOCK = 512
+#: Hashes that are permuted at once.
+_BLOCK = 1 << 16
 
 #: Rounds of pairs with leaders after that with one, and leaders of each band in a round.
 ROUNDS, LEADERS = 1, 3
@@ -51,9 +55,13 @@ SLACK, BIT_SLACK = 4.5, 6.0
 #: Pairs of one key that a task looks at; a greater key is dealt to several.
 MEETINGS = 50_000_000
 
+#: One-bit minima of the shingles in several classes, and the negative logarithm of the chance that a link fails by them (4e-8).
+MARKS, CHANCE = 1024, 17.0
+
 _random = np.random.default_rng(SEED)
 _FLIP, _TIMES = (_random.integers(1 << 63, size=(BANDS * ROWS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(2))
 _ROW = _random.integers(1 << 63, size=(BANDS, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_MARK_FLIP, _MARK_TIMES = (_random.integers(1 << 63, size=(MARKS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(2))
 
 
 def shingles(text: bytes | None, n: int = SHINGLE) -> np.ndarray:
@@ -70,11 +78,12 @@ def shingles(text: bytes | None, n: int = SHINGLE) -> np.ndarray:
     return np.unique(np.fromiter((digest(line[s:e], SEED) for s, e in spans), np.uint64, len(words) - n + 1))
 
 
-def minima(hashes: np.ndarray) -> np.ndarray:
-    """The least of the set's hashes under each of 128 permutations; the greatest number for an empty set."""
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
-    for i in range(0, len(hashes), _BLOCK):
-        np.minimum(least, ((hashes[i : i + _BLOCK] ^ _FLIP) * _TIMES).min(axis=1), out=least)
+def minima(hashes: np.ndarray, flip: np.ndarray = _FLIP, times: np.ndarray = _TIMES) -> np.ndarray:
+    """The least of the set's hashes under each of the permutations (128 by default); the greatest number for an empty set."""
+    least = np.full(len(flip), np.iinfo(np.uint64).max, np.uint64)
+    block = _BLOCK // len(flip)
+    for i in range(0, len(hashes), block):
+        np.minimum(least, ((hashes[i : i + block] ^ flip) * times).min(axis=1), out=least)
     return packed.mixed(least)
 
 
@@ -85,7 +94,7 @@ def bands(least: np.ndarray) -> np.ndarray:
 
 
 def sketch(least: np.ndarray) -> np.ndarray:
-    """One bit of each of the minima, as two signed longs."""
+    """One bit of each of the minima, 64 in a signed long."""
     return np.packbits((least & np.uint64(1)).astype(np.uint8)).view("<i8")
 
 
@@ -186,32 +195,91 @@ def _with_one_leader(entries: DataFrame, salt: int) -> DataFrame:
     return met.groupBy("node").agg(F.min("leader").alias("leader")).select("leader.a", F.col("node").alias("b"))
 
 
-def _all_pairs(entries: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(node, n, its hashes) of rows (node, n, key) that come node by node, whatever batches they are in."""
+    own, size, held = 0, 0, []
+    for batch in batches:
+        nodes, sizes, keys = (batch.column(c).to_numpy() for c in ("node", "n", "key"))
+        starts = np.flatnonzero(np.concatenate((nodes[:1] == nodes[:1], nodes[1:] != nodes[:-1])))
+        for start, end in zip(starts.tolist(), [*starts[1:].tolist(), len(nodes)]):
+            if held and nodes[start] != own:
+                yield own, size, np.concatenate(held)
+                held = []
+            own, size = int(nodes[start]), int(sizes[start])
+            held.append(keys[start:end].view(np.uint64))
+    if held:
+        yield own, size, np.concatenate(held)
+
+
+def _common(entries: DataFrame, texts: DataFrame, shingle: int, similarity: float, scratch: Scratch) -> DataFrame:
+    """(node, common, mark0, mark1, ...) of the nodes that may have a link to another class: how many of their shingles are in several classes, and their minima.
+
+    ``entries`` are (key, node, root), ``texts`` (node, text). A node with too few such shingles is left out: whatever it shares with another class is among them.
+    """
+    marks = [f"mark{i}" for i in range(MARKS // 64)]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingles(t, shingle).view(np.int64) for t in utf8(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("root"), pa.array(sets, pa.list_(pa.int64()))], ["node", "root", "shingles"])
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = ((node, h) for node, n, h in _runs(batches) if len(h) >= n * similarity - 1e-9)
+        while some := list(islice(found, TOGETHER)):
+            bits = np.array([sketch(minima(h, _MARK_FLIP, _MARK_TIMES)) for _, h in some])
+            columns = [pa.array([node for node, _ in some], pa.int64()), pa.array([len(h) for _, h in some], pa.int64()), *(pa.array(c) for c in bits.T)]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "common", *marks])
+
+    sets = entries.select("node", "root").distinct().join(texts, "node").select("node", "root", "text")
+    sets = scratch.stored(sets.mapInArrow(cut, "node long, root long, shingles array<long>"), "shingles")
+    rows = sets.select("node", "root", F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("key"))
+    rows = _shared(rows, "root").select("node", "n", "key").repartition("node").sortWithinPartitions("node")
+    return rows.mapInArrow(scan, ", ".join(f"{c} long" for c in ("node", "common", *marks)))
+
+
+def _all_pairs(entries: DataFrame, nodes: DataFrame, similarity: float, common: DataFrame | None = None) -> DataFrame:
     """Pairs of all nodes that share a key, are of different classes and may be alike by size and by the bits of their minima.
 
     ``entries`` are (key, node, root). A key's greatest class is not held against itself, and a key of many pairs is dealt to
-    several tasks: each has a part of the nodes outside that class, and all of the key's nodes to hold them against.
+    several tasks: each has a part of the nodes outside that class, and all of the key's nodes to hold them against. With
+    ``common`` (see ``_common``) only its nodes are paired, they have to be alike by it too, and a pair comes once: at the least key of both.
     """
     share = (1 - similarity) / 2
     most_bits = BANDS * ROWS * share + BIT_SLACK * (BANDS * ROWS * share * (1 - share)) ** 0.5
+    columns, bits = ["node", "root", "n", "bits0", "bits1"], []
+    if common is not None:
+        bits = [c for c in common.columns if c.startswith("mark")]
+        nodes, columns = nodes.join(common, "node"), [*columns, "bands", "common", *bits]
+        entries = entries.join(common.select("node"), "node", "left_semi")
     sizes = entries.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size")).groupBy("key")
     sizes = sizes.agg(F.max_by("root", F.struct("size", "root")).alias("main"), F.sum("size").alias("all"), F.max("size").alias("most")).where("most < all")
     slots = F.ceil(F.col("all") * (F.col("all") - F.col("most")).cast("double") / MEETINGS).cast("int").alias("slots")
-    marked = entries.join(sizes.select("key", "main", slots), "key").join(nodes.select("node", "n", "bits0", "bits1"), "node")
-    columns = ("node", "root", "n", "bits0", "bits1")
+    marked = entries.join(sizes.select("key", "main", slots), "key").join(nodes.select("node", *columns[2:]), "node")
     left = marked.where("root <> main").select("key", "main", F.pmod(F.xxhash64("node"), "slots").cast("int").alias("slot"), *[F.col(c).alias(f"a_{c}") for c in columns])
     right = marked.select("key", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("slot"), *[F.col(c).alias(f"b_{c}") for c in columns])
     apart = (F.col("a_root") != F.col("b_root")) & ((F.col("b_root") == F.col("main")) | (F.col("a_node") < F.col("b_node")))
     sized = F.least("a_n", "b_n") >= F.greatest("a_n", "b_n") * similarity - 1e-9
-    unlike = sum(F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in ("bits0", "bits1"))
-    met = left.alias("l").join(right.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.slot") == F.col("r.slot")) & apart & sized & (unlike <= most_bits))
+    may_link = apart & sized & (_unlike(["bits0", "bits1"]) <= most_bits)
+    if common is not None:
+        # What a link has in common at least, and how unlike the common shingles of its texts then are at most.
+        least = (F.col("a_n") + F.col("b_n")) * (similarity / (1 + similarity))
+        apart_by = (1 - least / F.greatest(F.col("a_common") + F.col("b_common") - least, least)) / 2
+        most = MARKS * apart_by + CHANCE / 3 + F.sqrt(CHANCE**2 / 9 + 2 * CHANCE * MARKS * apart_by * (1 - apart_by))  # Bernstein's bound
+        once = F.array_min(F.array_intersect("a_bands", "b_bands")) == F.col("l.key")
+        may_link = may_link & (F.least("a_common", "b_common") >= least - 1e-9) & (_unlike(bits) <= most) & once
+    met = left.alias("l").join(right.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.slot") == F.col("r.slot")) & may_link)
     return met.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
 
 
-def _shared(keys: DataFrame) -> DataFrame:
-    """Entries (key, node) of keys that several nodes have."""
-    several = keys.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least <> most").select("key")
-    return keys.join(several, "key").select("key", "node")
+def _unlike(columns: list[str]) -> Column:
+    """In how many bits the columns of a and b differ."""
+    return sum(F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in columns)
+
+
+def _shared(keys: DataFrame, by: str = "node") -> DataFrame:
+    """The rows of ``keys`` whose key several nodes (or what ``by`` names) have."""
+    several = keys.groupBy("key").agg(F.min(by).alias("least"), F.max(by).alias("most")).where("least <> most").select("key")
+    return keys.join(several, "key")
 
 
 def _classes(nodes: DataFrame, docs: DataFrame, shingle: int, similarity: float, exact: bool, rounds: int) -> DataFrame:
@@ -232,7 +300,8 @@ def _classes(nodes: DataFrame, docs: DataFrame, shingle: int, similarity: float,
         if roots is not None:
             entries = entries.drop("root").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
         if step == 2 + rounds:
-            pairs = _all_pairs(scratch.stored(entries, "entries"), nodes, similarity)
+            entries = scratch.stored(_shared(entries, "root"), "entries")
+            pairs = _all_pairs(entries, nodes, similarity, scratch.stored(_common(entries, texts, shingle, similarity, scratch), "common"))
         else:
             # A group of near copies finds together by one leader each, before all leaders of its bands are looked at.
             pairs = _with_one_leader(entries, step) if step < 2 else _with_leaders(entries, [step * LEADERS + i for i in range(LEADERS)])

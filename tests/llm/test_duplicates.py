@@ -280,6 +280,52 @@ def test_all_pairs_that_may_link_meet_whatever_a_task_looks_at(spark, meetings,
     assert set(got) == want and len(got) == 2 * len(want)
 
 
+@pytest.mark.parametrize("classes", [None, 3])
+def test_links_between_classes_pass_by_what_classes_have_in_common(spark, classes):
+    """Every link that shares a band leaves the join, once, however a node's shingles are cut into batches."""
+    rows = [*awkward(12), *((1000 + i, t, "s", "en", None) for i, t in enumerate(near_texts(13, 6, 12, 3)))]
+    marks = minhash._marks(frame(spark, rows), "doc_id", "text", minhash.SHINGLE).where("doc_id >= 1000").dropDuplicates(["node"]).localCheckpoint()
+    nodes = {r.node: r for r in marks.collect()}
+    text = {n: rows[[x[0] for x in rows].index(r.doc_id)][1] for n, r in nodes.items()}
+    root = {n: n if classes is None else r.doc_id % classes for n, r in nodes.items()}
+    entries = spark.createDataFrame([(k, n, root[n]) for n, r in nodes.items() for k in r.bands], "key long, node long, root long")
+    texts, scratch = spark.createDataFrame(list(text.items()), "node long, text string"), minhash.Scratch(spark)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "17")
+    try:
+        common = scratch.stored(minhash._common(entries, texts, minhash.SHINGLE, 0.8, scratch))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    got = [tuple(sorted((r.a, r.b))) for r in minhash._all_pairs(entries, marks, 0.8, common).collect()]
+    met = [(a, b) for a, b in itertools.combinations(sorted(nodes), 2) if root[a] != root[b] and set(nodes[a].bands) & set(nodes[b].bands)]
+    links = {(a, b) for a, b in met if brute_likeness(text[a], text[b]) >= 0.8}
+    assert links and links <= set(got) <= set(met) and len(got) == len(set(got)) < len(met)
+    sets = {n: set(minhash.shingles(t.encode()).tolist()) for n, t in text.items()}
+    shared = {n: sum(any(h in sets[m] for m in nodes if root[m] != root[n]) for h in sets[n]) for n in nodes}
+    assert {r.node: r.common for r in common.collect()} == {n: c for n, c in shared.items() if c >= 0.8 * len(sets[n])}
+    scratch.clear()
+
+
+def test_pairs_that_are_nearly_alike_do_not_leave_the_join(spark, monkeypatch):
+    """Texts of one base with two words of their own each: likeness 0.71 to nearly all others, links to few."""
+    rng, base, rows = random.Random(14), [f"w{i}" for i in range(120)], []
+    for i in range(150):
+        own = list(base)
+        for p in rng.sample(range(120), 2):
+            own[p] = f"x{i}y{p}"
+        rows.append((i, " ".join(own), "s", "en", None))
+    group = least_reachable(range(len(rows)), lambda a, b: brute_likeness(rows[a][1], rows[b][1]) >= 0.8)
+    given, alike = [], minhash._alike
+
+    def counted(pairs, *more):
+        given.append(pairs.count())
+        return alike(pairs, *more)
+
+    monkeypatch.setattr(minhash, "_alike", counted)
+    assert got_groups(minhash.near_copies(frame(spark, rows))) == groups_of(rows, group.values())
+    assert given[-1] < 10 * len(rows)  # of 11,175
+
+
 def test_pairs_with_leaders_grow_with_the_entries(spark):
     for m in (200, 400, 800):
         entries = spark.range(m).selectExpr("explode(sequence(0L, 31L)) AS key", "id AS node", "id AS root")
