@@ -13,7 +13,7 @@ Leaders can miss a link, so what shares a band and is still apart is compared la
 shingles that both have, so only those that are in several classes count: a text that has them for less than 0.8 of its set has no link to
 come, and of the others' common shingles the likeness has to be so much higher (0.94 where a tenth of both sets is their own) that 1024 minima
 of one bit tell links from what only comes near them. Where pairs meet, they are held to that, and each leaves the join once, at the least
-key it shares. ``exact=False`` leaves this step out.
+key it shares; the likeliest pair of each two classes is compared first, the others if that leaves them apart. ``exact=False`` leaves this step out.
 Before texts are fetched, pairs have to be of like size, and the share of 128 equal minima
 is an estimate that is allowed 4.5 deviations. What passes is compared shingle by shingle.
 """
@@ -104,6 +104,11 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both)
 
 
+def _few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows, no more than ``TOGETHER`` in a batch."""
+    return (whole.slice(i, TOGETHER) for whole in batches for i in range(0, whole.num_rows, TOGETHER))
+
+
 def _marks(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
     """(doc_id, text_key, node, fingerprint, n, bands, minima, bits0, bits1) of every row; texts of equal shingles are one node.
 
@@ -112,7 +117,7 @@ def _marks(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFra
     names = ["doc_id", "text_key", "node", "fingerprint", "n", "bands", "minima", "bits0", "bits1"]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in (whole.slice(i, TOGETHER) for whole in batches for i in range(0, whole.num_rows, TOGETHER)):
+        for batch in _few(batches):
             texts = utf8(batch.column("text"))
             sets = [shingles(t, shingle) for t in texts]
             nodes = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64)
@@ -219,7 +224,7 @@ def _common(entries: DataFrame, texts: DataFrame, shingle: int, similarity: floa
     marks = [f"mark{i}" for i in range(MARKS // 64)]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _few(batches):
             sets = [shingles(t, shingle).view(np.int64) for t in utf8(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("root"), pa.array(sets, pa.list_(pa.int64()))], ["node", "root", "shingles"])
 
@@ -268,7 +273,22 @@ def _all_pairs(entries: DataFrame, nodes: DataFrame, similarity: float, common:
         once = F.array_min(F.array_intersect("a_bands", "b_bands")) == F.col("l.key")
         may_link = may_link & (F.least("a_common", "b_common") >= least - 1e-9) & (_unlike(bits) <= most) & once
     met = left.alias("l").join(right.alias("r"), (F.col("l.key") == F.col("r.key")) & (F.col("l.slot") == F.col("r.slot")) & may_link)
-    return met.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
+    return met.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"), "a_root", "b_root", _unlike(bits or ["bits0", "bits1"]).alias("unlike"))
+
+
+def _nearest(apart: DataFrame) -> DataFrame:
+    """Of the pairs (a, b, a_root, b_root, unlike) the likeliest between each two classes."""
+    classes = apart.groupBy(F.least("a_root", "b_root").alias("one"), F.greatest("a_root", "b_root").alias("other"))
+    return classes.agg(F.min_by(F.struct("a", "b"), F.struct("unlike", "a", "b")).alias("pair")).select("pair.a", "pair.b")
+
+
+def _still_apart(apart: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """Pairs (a, b) whose nodes are of different classes by ``roots`` (node, root)."""
+    if roots is None:
+        return apart.select("a", "b")
+    for c in "ab":
+        apart = apart.join(roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_now")), c, "left")
+    return apart.where(F.coalesce("a_now", "a") != F.coalesce("b_now", "b")).select("a", "b")
 
 
 def _unlike(columns: list[str]) -> Column:
@@ -295,19 +315,26 @@ def _classes(nodes: DataFrame, docs: DataFrame, shingle: int, similarity: float,
     rows = docs.join(wanted, docs.doc_id.eqNullSafe(F.col("own_id")) & (text_key(F.col("text")) == F.col("own_key")))
     texts = scratch.stored(rows.groupBy("node").agg(F.first("text").alias("text")), "texts")
     found, roots, tried = None, None, None
-    for step in range(2 + rounds + exact):
-        entries = (banded if step else near).withColumn("root", F.col("node"))
-        if roots is not None:
-            entries = entries.drop("root").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-        if step == 2 + rounds:
-            entries = scratch.stored(_shared(entries, "root"), "entries")
-            pairs = _all_pairs(entries, nodes, similarity, scratch.stored(_common(entries, texts, shingle, similarity, scratch), "common"))
+    for step in range(2 + rounds + 2 * exact):
+        if step > 2 + rounds:
+            pairs = _still_apart(apart, roots)
         else:
-            # A group of near copies finds together by one leader each, before all leaders of its bands are looked at.
-            pairs = _with_one_leader(entries, step) if step < 2 else _with_leaders(entries, [step * LEADERS + i for i in range(LEADERS)])
+            entries = (banded if step else near).withColumn("root", F.col("node"))
+            if roots is not None:
+                entries = entries.drop("root").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+            if step == 2 + rounds:
+                # One pair of each two classes comes first; what that joins needs no other.
+                entries = scratch.stored(_shared(entries, "root"), "entries")
+                common = scratch.stored(_common(entries, texts, shingle, similarity, scratch), "common")
+                apart = scratch.stored(_all_pairs(entries, nodes, similarity, common), "apart")
+                pairs = _nearest(apart)
+            else:
+                # A group of near copies finds together by one leader each, before all leaders of its bands are looked at.
+                pairs = _with_one_leader(entries, step) if step < 2 else _with_leaders(entries, [step * LEADERS + i for i in range(LEADERS)])
         pairs = _ordered(pairs)
         pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
-        alike = scratch.stored(_alike(pairs, nodes, similarity) if step else pairs, "alike")
+        # SimHash classes are compared as they are, and what leaves the last join has passed more than these estimates.
+        alike = scratch.stored(_alike(pairs, nodes, similarity) if 0 < step < 2 + rounds else pairs, "alike")
         tried = alike if tried is None else tried.union(alike)
         good = scratch.stored(_verified(alike, texts, shingle, similarity), "likes")
         found = good if found is None else found.union(good)
@@ -336,11 +363,14 @@ def near_copies(
     group. Copies and repeated rows are compared once and each has a row; rows without an id are grouped like others. An
     empty table gives an empty table. Other columns of ``docs`` play no part.
     """
-    marked = stored(_marks(docs, id_col, text_col, shingle), "marks")
+    scratch = Scratch(docs.sparkSession)
+    marked = scratch.stored(_marks(docs, id_col, text_col, shingle), "marks")
     first = [F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("first")]
     first += [F.min("fingerprint").alias("fingerprint"), F.min("n").alias("n"), *[F.first(c).alias(c) for c in ("bands", "minima", "bits0", "bits1")]]
     nodes = marked.groupBy("node").agg(*first).select("node", "first.doc_id", "first.text_key", "fingerprint", "n", "bands", "minima", "bits0", "bits1")
     nodes = stored(nodes, "nodes")
+    marked = stored(marked.select("doc_id", "text_key", "node"), "placed")
+    scratch.clear()  # bands and minima are in nodes
     roots = _classes(nodes, keyed(docs, id_col, text_col), shingle, similarity, exact, rounds)
-    placed = marked.select("doc_id", "text_key", "node").join(roots, "node", "left")
+    placed = marked.join(roots, "node", "left")
     return placed.select("doc_id", "text_key", F.coalesce("root", "node").alias("group"))
